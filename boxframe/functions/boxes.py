@@ -175,3 +175,45 @@ def with_box(s: Column, box: Column) -> Column:
     for f in COORDS:
         out = out.withField(f, box.getField(f))
     return out
+
+
+def crop_boxes(boxes: Column, left, top, width=None, height=None, allow_outside_center: bool = True) -> Column:
+    """Crop an array of box structs to a window (None/0 extent = unbounded).
+
+    Corners are clipped to the window and translated to its origin; boxes left
+    empty are dropped, and with ``allow_outside_center=False`` so are boxes
+    whose centre is outside ``[left, right) x [top, bottom)``.  Other struct
+    fields (label, weight, ...) travel with their box."""
+    l = F.coalesce(_c(left), F.lit(0.0)).cast("double")
+    t = F.coalesce(_c(top), F.lit(0.0)).cast("double")
+    inf = F.lit(float("inf"))
+    r = l + (F.when(F.coalesce(_c(width), F.lit(0)) != 0, _c(width).cast("double")).otherwise(inf)
+             if width is not None else inf)
+    b = t + (F.when(F.coalesce(_c(height), F.lit(0)) != 0, _c(height).cast("double")).otherwise(inf)
+             if height is not None else inf)
+
+    def inside(x):
+        cx = (x["x_min"] + x["x_max"]) / 2
+        cy = (x["y_min"] + x["y_max"]) / 2
+        return (l <= cx) & (cx < r) & (t <= cy) & (cy < b)
+
+    kept = boxes if allow_outside_center else F.filter(boxes, inside)
+    moved = F.transform(kept, lambda x: with_box(x, F.struct(
+        (F.greatest(x["x_min"], l) - l).alias("x_min"), (F.greatest(x["y_min"], t) - t).alias("y_min"),
+        (F.least(x["x_max"], r) - l).alias("x_max"), (F.least(x["y_max"], b) - t).alias("y_max"))))
+    return F.filter(moved, lambda x: (x["x_min"] < x["x_max"]) & (x["y_min"] < x["y_max"]))
+
+
+def flip_boxes(boxes: Column, width, height, horizontal, vertical) -> Column:
+    """B6 on an array of box structs."""
+    return F.transform(boxes, lambda x: with_box(x, flip_box(x, width, height, horizontal, vertical)))
+
+
+def expand_boxes(boxes: Column, off_x, off_y) -> Column:
+    """B7 on an array: boxes move with the image pasted at (off_x, off_y) on a larger canvas."""
+    return F.transform(boxes, lambda x: with_box(x, shift_box(x, off_x, off_y)))
+
+
+def rescale_boxes(boxes: Column, from_w, from_h, to_w, to_h) -> Column:
+    """B5 on an array."""
+    return F.transform(boxes, lambda x: with_box(x, rescale_box(x, from_w, from_h, to_w, to_h)))
