@@ -126,10 +126,13 @@ def iou_wh(w, h, aw, ah) -> Column:
 
 
 def iou_center(a_cxcywh: Sequence, b_cxcywh: Sequence) -> Column:
-    """Centre-format IoU with the eps denominator (ignore-mask IoU)."""
-    a = to_corners(*a_cxcywh)
-    b = to_corners(*b_cxcywh)
-    return iou(a, b, "eps")
+    """B4f: centre-format IoU with the eps denominator (ignore-mask IoU); areas are w*h."""
+    acx, acy, aw, ah = (_c(v) for v in a_cxcywh)
+    bcx, bcy, bw, bh = (_c(v) for v in b_cxcywh)
+    iw = F.greatest(F.least(acx + aw / 2, bcx + bw / 2) - F.greatest(acx - aw / 2, bcx - bw / 2), F.lit(0.0))
+    ih = F.greatest(F.least(acy + ah / 2, bcy + bh / 2) - F.greatest(acy - ah / 2, bcy - bh / 2), F.lit(0.0))
+    inter = iw * ih
+    return F.try_divide(inter, aw * ah + bw * bh - inter + F.lit(1e-10))
 
 
 def suppresses(iou_col: Column, variant: str, threshold: float) -> Column:

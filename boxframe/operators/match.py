@@ -21,12 +21,17 @@ DET_KEY = ("img_id", "pred_id")
 
 
 def best_truth(det: DataFrame, truth: DataFrame, *, by_label: bool, variant: str = "eps",
-               cell: float = 128.0) -> DataFrame:
+               cell: float = 256.0, min_iou: float | None = None) -> DataFrame:
     """Add ``best_box_id`` and ``best_iou`` to every detection.
 
     The best truth has the highest IoU among the image's truths (of the same
     class when ``by_label``), the lowest ``box_id`` on ties.  A detection that
     overlaps no truth gets NULLs (it can never be a true positive for a threshold >= 0).
+
+    ``min_iou``: only report a best truth whose IoU exceeds it.  Matching only
+    asks whether the best IoU is > t, and if it is, the best pair survives the
+    filter (ties included), so the decision is unchanged while the per-detection
+    aggregation sees only real matches.
     """
     keys = ["img_id", "label"] if by_label else ["img_id"]
     a = det.select(*keys, "pred_id", *[F.col(c).alias(f"a_{c}") for c in COORDS])
@@ -35,6 +40,8 @@ def best_truth(det: DataFrame, truth: DataFrame, *, by_label: bool, variant: str
     abox = F.struct(*[F.col(f"a_{c}").alias(c) for c in COORDS])
     bbox = F.struct(*[F.col(f"b_{c}").alias(c) for c in COORDS])
     scored = pairs.select("img_id", "pred_id", iou(abox, bbox, variant).alias("__ov"), "b_box_id")
+    if min_iou is not None:
+        scored = scored.filter(F.col("__ov") > F.lit(float(min_iou)))
     best = (scored.groupBy(*DET_KEY)
                   .agg(F.max(F.struct(F.col("__ov"), F.negative(F.col("b_box_id")).alias("__nb"))).alias("__m"))
                   .select(*DET_KEY, F.col("__m.__ov").alias("best_iou"),
@@ -74,7 +81,7 @@ def evaluate_matches(det: DataFrame, truth: DataFrame, iou_threshold: float = 0.
     claimed with IoU > t and equal label.  Per class: ``n_true, n_pred, n_tp``;
     with ``per_class=False`` one row with recall = TP/(truth+1e-6),
     precision = TP/(pred+1e-6)."""
-    m = best_truth(det, truth, by_label=False, variant="eps")
+    m = best_truth(det, truth, by_label=False, variant="eps", min_iou=iou_threshold)
     flagged = match_winners(m, iou_threshold, same_label=False, truth_labels=truth)
     tp = flagged.groupBy("label").agg(F.sum("tp").cast("bigint").alias("n_tp"),
                                       F.count(F.lit(1)).alias("n_pred"))

@@ -28,7 +28,7 @@ ROUND = 9
 def pr_curve(det: DataFrame, truth: DataFrame, iou_threshold: float = 0.5, *,
              rank_strategy: str = "two_pass") -> DataFrame:
     """One row per detection with ``rank, tp, cum_tp, precision, recall, envelope``."""
-    m = best_truth(det, truth, by_label=True, variant="voc")
+    m = best_truth(det, truth, by_label=True, variant="voc", min_iou=iou_threshold)
     flagged = match_winners(m, iou_threshold).select("img_id", "pred_id", "label", "score", "tp")
     ranked = global_rank(flagged, ["label"], RANK_ORDER, {"cum_tp": F.col("tp")}, strategy=rank_strategy)
     npos = class_counts(truth, name="npos")

@@ -77,6 +77,8 @@ nms_out AS (
 
 def with_views(*views: str, extra: str = "") -> str:
     """``WITH RECURSIVE`` prefix with the fixture views and extra CTEs."""
+    if not views:
+        return ("WITH RECURSIVE " + extra.lstrip().lstrip(",") + "\n") if extra else ""
     head = duck_cte(*views).replace("WITH ", "WITH RECURSIVE ", 1).rstrip()
     return head + ("," + extra if extra else "") + "\n"
 

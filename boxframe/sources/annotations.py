@@ -14,17 +14,24 @@ from boxframe.functions.boxes import COORDS
 BOX_FIELDS = ("box_id", "label", *COORDS, "weight")
 
 
-def parse_annotation(value: Column, mode: str = "FAILFAST") -> Column:
-    """struct(img_id, path, boxes array<struct(box_id, label, x_min.., weight)>) from one line.
+def _caster(mode: str):
+    if mode == "FAILFAST":
+        return lambda c, t: c.cast(t)
+    if mode == "PERMISSIVE":
+        return lambda c, t: c.try_cast(t)
+    raise ValueError("mode must be FAILFAST or PERMISSIVE")
+
+
+def parse_tokens(tokens: Column, mode: str = "FAILFAST") -> Column:
+    """struct(img_id, path, boxes array<struct(box_id, label, x_min.., weight)>) from a
+    line already split into tokens (a column reference, so the split runs once per line).
 
     FAILFAST: a bad number raises (ANSI cast).  PERMISSIVE: bad numbers become NULL."""
-    cast = (lambda c, t: c.cast(t)) if mode == "FAILFAST" else (lambda c, t: c.try_cast(t))
-    s = F.split(F.trim(value), " ")
-    rest = F.slice(s, 3, F.greatest(F.size(s) - 2, F.lit(0)))
-    n = F.floor(F.size(rest) / 5).cast("int")
+    cast = _caster(mode)
+    n = F.floor(F.greatest(F.size(tokens) - 2, F.lit(0)) / 5).cast("int")
 
     def box(i: Column) -> Column:
-        at = lambda j: F.element_at(rest, i * 5 + j + 1)
+        at = lambda j: F.element_at(tokens, i * 5 + j + 3)
         return F.struct((i + 1).cast("int").alias("box_id"), cast(at(0), "int").alias("label"),
                         cast(at(1), "double").alias("x_min"), cast(at(2), "double").alias("y_min"),
                         cast(at(3), "double").alias("x_max"), cast(at(4), "double").alias("y_max"),
@@ -32,19 +39,22 @@ def parse_annotation(value: Column, mode: str = "FAILFAST") -> Column:
 
     boxes = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), box)).otherwise(
         F.filter(F.array(box(F.lit(0))), lambda _: F.lit(False)))
-    return F.struct(cast(F.element_at(s, 1), "bigint").alias("img_id"), F.element_at(s, 2).alias("path"),
+    return F.struct(cast(F.element_at(tokens, 1), "bigint").alias("img_id"), F.element_at(tokens, 2).alias("path"),
                     boxes.alias("boxes"))
 
 
 def scan_annotations(source, mode: str = "FAILFAST", spark: SparkSession | None = None,
                      value_col: str = "value") -> DataFrame:
-    """Annotation text (path, or a DataFrame with a ``value`` column) -> one row per image."""
+    """Annotation text (path, or a DataFrame with a ``value`` column) -> one row per image.
+
+    Each line is split once into a token column; the box structs then index
+    that column (Spark does not share sub-expressions inside lambdas)."""
     if isinstance(source, DataFrame):
         df = source
     else:
         df = spark.read.text(source)
-    df = df.filter(F.length(F.trim(F.col(value_col))) > 0)
-    return df.select(parse_annotation(F.col(value_col), mode).alias("__a")).select("__a.*")
+    toks = df.select(F.split(F.trim(F.col(value_col)), " ").alias("__t")).filter(F.element_at("__t", 1) != "")
+    return toks.select(parse_tokens(F.col("__t"), mode).alias("__a")).select("__a.*")
 
 
 def explode_boxes(images: DataFrame, keep: tuple[str, ...] = ("img_id",)) -> DataFrame:
