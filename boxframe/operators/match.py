@@ -74,24 +74,26 @@ def class_counts(df: DataFrame, label_col: str = "label", name: str = "n") -> Da
 
 
 def evaluate_matches(det: DataFrame, truth: DataFrame, iou_threshold: float = 0.5,
-                     per_class: bool = True) -> DataFrame:
+                     per_class: bool = True, group_cols: Sequence[str] = ()) -> DataFrame:
     """Batch recall/precision counts.
 
     Best truth over *all* classes of the image (eps IoU); TP = distinct truths
     claimed with IoU > t and equal label.  Per class: ``n_true, n_pred, n_tp``;
     with ``per_class=False`` one row with recall = TP/(truth+1e-6),
-    precision = TP/(pred+1e-6)."""
+    precision = TP/(pred+1e-6).  ``group_cols`` (present on both tables, e.g. a
+    step bucket derived from the image) evaluate several batches at once."""
+    g = list(group_cols)
     m = best_truth(det, truth, by_label=False, variant="eps", min_iou=iou_threshold)
     flagged = match_winners(m, iou_threshold, same_label=False, truth_labels=truth)
-    tp = flagged.groupBy("label").agg(F.sum("tp").cast("bigint").alias("n_tp"),
-                                      F.count(F.lit(1)).alias("n_pred"))
-    nt = class_counts(truth, name="n_true")
-    out = (nt.join(tp, "label", "full")
-             .select("label", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-                                for c in ("n_true", "n_pred", "n_tp")]))
+    tp = flagged.groupBy(*g, "label").agg(F.sum("tp").cast("bigint").alias("n_tp"),
+                                          F.count(F.lit(1)).alias("n_pred"))
+    nt = truth.groupBy(*g, "label").agg(F.count(F.lit(1)).alias("n_true"))
+    out = (nt.join(tp, [*g, "label"], "full")
+             .select(*g, "label", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+                                    for c in ("n_true", "n_pred", "n_tp")]))
     if per_class:
         return out
-    tot = out.agg(*[F.sum(c).cast("bigint").alias(c) for c in ("n_true", "n_pred", "n_tp")])
+    tot = out.groupBy(*g).agg(*[F.sum(c).cast("bigint").alias(c) for c in ("n_true", "n_pred", "n_tp")])
     return tot.select("*",
                       (F.col("n_tp") / (F.col("n_true") + F.lit(1e-6))).alias("recall"),
                       (F.col("n_tp") / (F.col("n_pred") + F.lit(1e-6))).alias("precision"))

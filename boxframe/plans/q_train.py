@@ -152,3 +152,203 @@ SELECT round(CAST(5e-4 AS DOUBLE) * sum(list_sum(list_transform(embedding, lambd
 def q_l2_penalty(t):
     """weight_decay * sum(w^2) / 2, the embeddings standing in for head weights."""
     return l2_penalty(t.embeddings, 5e-4, col="embedding").select(F.round("loss_l2", 9).alias("loss_l2"))
+
+
+# --- B20/B21 learning-rate schedules ------------------------------------------------------------
+
+from boxframe.config import DetectionConfig  # noqa: E402
+from boxframe.functions.schedule import LR_TYPES, learning_rate  # noqa: E402
+from boxframe.operators.feed import batch_sizes, epoch_batches, mixup_pairs  # noqa: E402
+from boxframe.operators.match import evaluate_matches  # noqa: E402
+from boxframe.operators.meters import meters_by_window, weighted_meter  # noqa: E402
+from boxframe.operators.nms import nms  # noqa: E402
+from boxframe.sources.sinks import dataset_profile, metrics_long  # noqa: E402
+
+CFG = DetectionConfig()
+LR_ROUND = 15
+
+
+def _lr_sql(lr_type: str, u: str) -> str:
+    c = CFG
+    init, low, freq = repr(c.learning_rate_init), repr(c.lr_lower_bound), repr(float(c.lr_decay_freq))
+    d = lambda v: f"CAST({v!r} AS DOUBLE)" if not isinstance(v, str) else f"CAST({v} AS DOUBLE)"
+    if lr_type == "fixed":
+        return d(c.learning_rate_init)
+    if lr_type == "exponential":
+        return f"greatest({d(c.learning_rate_init)} * pow({d(c.lr_decay_factor)}, floor({u} / {d(float(c.lr_decay_freq))})), {d(c.lr_lower_bound)})"
+    if lr_type == "cosine_decay":
+        total = (c.total_epochs - float(c.use_warm_up) * c.warm_up_epoch) * c.train_batch_num
+        return (f"{d(c.lr_lower_bound)} + 0.5 * ({d(c.learning_rate_init)} - {d(c.lr_lower_bound)}) * "
+                f"(1.0 + cos({u} / {d(float(total))} * pi()))")
+    if lr_type == "cosine_decay_restart":
+        x = f"({u} / {d(float(c.lr_decay_freq))})"
+        i = f"floor(log2({x} + 1.0))"
+        return f"{d(c.learning_rate_init)} * 0.5 * (1.0 + cos(pi() * (({x} - (pow(2.0, {i}) - 1.0)) / pow(2.0, {i}))))"
+    if lr_type == "piecewise":
+        b, v = c.pw_boundaries, c.pw_values
+        return f"CASE WHEN {u} <= {d(b[0])} THEN {d(v[0])} WHEN {u} <= {d(b[1])} THEN {d(v[1])} ELSE {d(v[2])} END"
+    raise ValueError(lr_type)
+
+
+def _lr_with_warmup(lr_type: str) -> str:
+    w = repr(float(CFG.warm_up_steps))
+    return (f"CASE WHEN CAST(step AS DOUBLE) < CAST({w} AS DOUBLE) THEN CAST({CFG.learning_rate_init!r} AS DOUBLE) * "
+            f"CAST(step AS DOUBLE) / CAST({w} AS DOUBLE) "
+            f"ELSE {_lr_sql(lr_type, f'(CAST(step AS DOUBLE) - CAST({w} AS DOUBLE))')} END")
+
+
+@register("lr_schedule", osql.with_views("meter_in") + "SELECT step, " + ", ".join(
+    f"round({_lr_with_warmup(k)}, {LR_ROUND}) AS lr_{k}" for k in LR_TYPES) + " FROM meter_in")
+def q_lr_schedule(t):
+    """Every schedule with warm-up at each training step (steps from the event stream)."""
+    s = t.meter_in.select("step")
+    return s.select("step", *[F.round(learning_rate(F.col("step"), CFG, k), LR_ROUND).alias(f"lr_{k}") for k in LR_TYPES])
+
+
+# --- G5 / L7 meters ---------------------------------------------------------------------------------
+
+_METER_SQL = """sum(val * n) AS sum, CAST(sum(n) AS BIGINT) AS count, sum(val * n) / sum(n) AS average,
+       arg_max(val, step) AS last"""
+
+
+@register("meters", osql.with_views("meter_in") + f"""
+SELECT tag, round(sum, 6) AS sum, count, round(average, 9) AS average, last FROM (
+  SELECT tag, {_METER_SQL} FROM meter_in GROUP BY tag)""")
+def q_meters(t):
+    """Weighted running meter per tag: sum(v*n)/sum(n), last value by step."""
+    m = weighted_meter(t.meter_in, ["tag"])
+    return m.select("tag", F.round("sum", 6).alias("sum"), "count", F.round("average", 9).alias("average"), "last")
+
+
+@register("meters_by_epoch", osql.with_views("meter_in") + f"""
+SELECT epoch, tag, round(sum, 6) AS sum, count, round(average, 9) AS average, last FROM (
+  SELECT step // 1000 AS epoch, tag, {_METER_SQL} FROM meter_in GROUP BY step // 1000, tag)""")
+def q_meters_by_epoch(t):
+    """L7 (batch): meters reset every epoch of 1000 steps."""
+    m = weighted_meter(t.meter_in, [F.floor(F.col("step") / 1000).cast("bigint").alias("epoch"), "tag"])
+    return m.select("epoch", "tag", F.round("sum", 6).alias("sum"), "count", F.round("average", 9).alias("average"), "last")
+
+
+@register("meters_window", osql.with_views("meter_in") + f"""
+SELECT window_start, tag, round(sum, 6) AS sum, count, round(average, 9) AS average, last FROM (
+  SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS window_start, tag, {_METER_SQL}
+  FROM meter_in GROUP BY 1, tag)""")
+def q_meters_window(t):
+    """L7 (batch twin of the stream): meters per tag on tumbling 1-day event-time windows."""
+    m = meters_by_window(t.meter_in, "ts", "1 day", ["tag"])
+    return m.select("window_start", "tag", F.round("sum", 6).alias("sum"), "count",
+                    F.round("average", 9).alias("average"), "last")
+
+
+# --- S7 metrics table -------------------------------------------------------------------------------
+
+@register("metrics_long", osql.with_views("meter_in") + f"""
+SELECT step, tag, value FROM (
+  SELECT step, val AS total_loss, CAST(n AS DOUBLE) / 100 AS loss_l2,
+         CAST(n AS DOUBLE) / 100 / nullif(val, 0) AS loss_ratio,
+         round({_lr_with_warmup('exponential')}, {LR_ROUND}) AS learning_rate
+  FROM meter_in) UNPIVOT (value FOR tag IN (total_loss, loss_l2, loss_ratio, learning_rate))""")
+def q_metrics_long(t):
+    """Per-step scalars (loss, L2 term, L2/total ratio, learning rate) as (step, tag, value)."""
+    m = t.meter_in
+    wide = m.select("step", F.col("val").alias("total_loss"), (F.col("n").cast("double") / 100).alias("loss_l2"),
+                    F.try_divide(F.col("n").cast("double") / 100, F.col("val")).alias("loss_ratio"),
+                    F.round(learning_rate(F.col("step"), CFG, "exponential"), LR_ROUND).alias("learning_rate"))
+    return metrics_long(wide, "step", ["total_loss", "loss_l2", "loss_ratio", "learning_rate"]).filter(
+        F.col("value").isNotNull())
+
+
+# --- S9 dataset profile -----------------------------------------------------------------------------
+
+@register("dataset_profile", osql.with_views("gt") + """
+SELECT label, count(*) AS n_boxes, count(DISTINCT img_id) AS n_images FROM gt GROUP BY ROLLUP (label)""")
+def q_dataset_profile(t):
+    """Boxes and images per class plus the total."""
+    return dataset_profile(t.gt)
+
+
+# --- L1 / A9 / J6 feed ------------------------------------------------------------------------------
+
+SEED = 7
+_U = "((({k}) % 2147483647) * 1103515245 + ({seed} % 2147483647) * 2654435761 % 2147483647 + ({d}) * 40503) % 2147483647"
+
+
+def _u_sql(k: str, d: str, seed: int = SEED) -> str:
+    return f"(CAST({_U.format(k=k, seed=seed, d=d)} AS DOUBLE) / 2147483647.0)"
+
+
+_BATCH_CTE = f"""
+eb_rows AS (SELECT img_id, e.epoch FROM img CROSS JOIN (SELECT unnest(range(2)) AS epoch) e),
+eb_key AS (SELECT img_id, epoch, {_u_sql('img_id', 'epoch')} AS shuffle_key FROM eb_rows),
+eb_rank AS (
+  SELECT img_id, epoch, shuffle_key,
+         row_number() OVER (PARTITION BY epoch ORDER BY shuffle_key, img_id) - 1 AS pos FROM eb_key),
+eb AS (
+  SELECT img_id, CAST(epoch AS INT) AS epoch, shuffle_key, CAST(pos AS BIGINT) AS pos,
+         CAST(pos // 20 AS BIGINT) AS batch,
+         CAST(epoch * ceil((SELECT count(*) FROM img) / 20.0) + pos // 20 AS BIGINT) AS step
+  FROM eb_rank)"""
+
+
+def _batches(t):
+    return epoch_batches(t.img.select("img_id"), epochs=2, batch_size=20, seed=SEED)
+
+
+@register("epoch_batches", osql.with_views("img", extra=_BATCH_CTE) + "SELECT * FROM eb")
+def q_epoch_batches(t):
+    """Two epochs, each in its own reproducible shuffled order, batches of 20."""
+    return _batches(t).select("img_id", F.col("epoch").cast("int").alias("epoch"), "shuffle_key", "pos", "batch", "step")
+
+
+@register("batch_sizes", osql.with_views("img", extra=_BATCH_CTE) + f"""
+SELECT DISTINCT step, CAST([{', '.join(str(s) for s in range(320, 640, 32))}][
+  CAST(floor({_u_sql('step // 10', '0')} * 10) AS INT) + 1] AS INT) AS img_size FROM eb""")
+def q_batch_sizes(t):
+    """Multi-scale input size per batch, redrawn every 10 steps."""
+    return batch_sizes(_batches(t).select("step").distinct(), SEED, 10).select(
+        "step", F.col("img_size").cast("int").alias("img_size"))
+
+
+@register("mixup_pairs", osql.with_views("img", extra=_BATCH_CTE + f""",
+mx_size AS (SELECT epoch, batch, count(*) AS bn, min(pos) AS b0 FROM eb GROUP BY epoch, batch),
+mx AS (
+  SELECT e.*, s.bn, e.pos - s.b0 AS slot,
+         {_u_sql('e.img_id', '1 + e.epoch * 4')} < 0.5 AND s.bn > 1 AS mixed,
+         {_u_sql('e.img_id', '2 + e.epoch * 4')} AS u2
+  FROM eb e JOIN mx_size s USING (epoch, batch)),
+mx2 AS (SELECT *, CASE WHEN mixed THEN (slot + 1 + CAST(floor(u2 * (bn - 1)) AS BIGINT)) % bn END AS pslot FROM mx)""") + """
+SELECT a.img_id, a.epoch, a.batch, a.mixed, b.img_id AS partner_id,
+       CASE WHEN a.mixed THEN b.img_id ELSE a.img_id END AS out_img_id
+FROM mx2 a LEFT JOIN mx2 b ON b.epoch = a.epoch AND b.batch = a.batch AND b.slot = a.pslot""")
+def q_mixup_pairs(t):
+    """Mix-up partner for half the images, another member of the same batch."""
+    b = _batches(t).select("img_id", "epoch", "batch", "pos")
+    return mixup_pairs(b, SEED).select("img_id", F.col("epoch").cast("int").alias("epoch"), "batch", "mixed",
+                                       "partner_id", "out_img_id")
+
+
+# --- L6 evaluate every 100 steps --------------------------------------------------------------------
+
+@register("evaluate_by_step", osql.with_views("pred", extra=osql.nms_sql("pred") + """,
+ev_pairs AS (
+  SELECT d.img_id, d.pred_id, d.label, d.score, t.box_id, t.label AS t_label, {ov} AS ov
+  FROM nms_out d LEFT JOIN gt t ON t.img_id = d.img_id),
+ev_best AS (
+  SELECT * FROM ev_pairs QUALIFY row_number() OVER (PARTITION BY img_id, pred_id ORDER BY ov DESC NULLS LAST, box_id) = 1),
+ev_claim AS (
+  SELECT * FROM ev_best WHERE ov > 0.5 AND t_label = label
+  QUALIFY row_number() OVER (PARTITION BY img_id, box_id ORDER BY score DESC, pred_id) = 1),
+ev_tp AS (SELECT img_id // 2000 AS bucket, count(*) AS n_tp FROM ev_claim GROUP BY 1),
+ev_pred AS (SELECT img_id // 2000 AS bucket, count(*) AS n_pred FROM nms_out GROUP BY 1),
+ev_true AS (SELECT img_id // 2000 AS bucket, count(*) AS n_true FROM gt GROUP BY 1)""".replace(
+    "{ov}", osql._iou_sql("d.", "t.", "eps"))) + """
+SELECT CAST(coalesce(t.bucket, p.bucket) AS BIGINT) AS bucket, CAST(coalesce(t.n_true, 0) AS BIGINT) AS n_true,
+       CAST(coalesce(p.n_pred, 0) AS BIGINT) AS n_pred, CAST(coalesce(x.n_tp, 0) AS BIGINT) AS n_tp,
+       coalesce(x.n_tp, 0) / (coalesce(t.n_true, 0) + CAST(1e-6 AS DOUBLE)) AS recall,
+       coalesce(x.n_tp, 0) / (coalesce(p.n_pred, 0) + CAST(1e-6 AS DOUBLE)) AS precision
+FROM ev_true t FULL OUTER JOIN ev_pred p ON p.bucket = t.bucket LEFT JOIN ev_tp x ON x.bucket = coalesce(t.bucket, p.bucket)""")
+def q_evaluate_by_step(t):
+    """Batch evaluation every 100 steps of 20 images (bucket = img_id div 2000)."""
+    det = nms(t.pred.select("img_id", "label", "pred_id", "score", "x_min", "y_min", "x_max", "y_max"), 0.5, 0.5, 50)
+    bucket = lambda df: df.withColumn("bucket", F.floor(F.col("img_id") / 2000).cast("bigint"))
+    return evaluate_matches(bucket(det), bucket(t.gt), 0.5, per_class=False, group_cols=["bucket"])
