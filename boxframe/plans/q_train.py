@@ -352,3 +352,97 @@ def q_evaluate_by_step(t):
     det = nms(t.pred.select("img_id", "label", "pred_id", "score", "x_min", "y_min", "x_max", "y_max"), 0.5, 0.5, 50)
     bucket = lambda df: df.withColumn("bucket", F.floor(F.col("img_id") / 2000).cast("bigint"))
     return evaluate_matches(bucket(det), bucket(t.gt), 0.5, per_class=False, group_cols=["bucket"])
+
+
+# --- L2 / L3 head scoring ---------------------------------------------------------------------------
+
+from boxframe.operators.infer import head_weights, score_head  # noqa: E402
+
+HEAD_W, HEAD_B = head_weights(64, 24)
+
+
+def _head_sql() -> str:
+    return f"""
+SELECT vec_id, CAST(j AS INT) AS j, round(list_reduce(list_transform(range(64), lambda i:
+         f[i + 1] * (((i * 7 + j * 13) % 11 - 5) / 10.0)), lambda a, x: a + x, CAST(0.0 AS DOUBLE))
+       + (j % 5 - 2) / 10.0, 9) AS logit
+FROM (SELECT vec_id, f, unnest(range(24)) AS j FROM features)"""
+
+
+@register("score_head", osql.with_views("features") + _head_sql())
+def q_score_head(t):
+    """L3: per-cell linear head (64 features -> 3 x (5 + 3) logits), JVM-side."""
+    s = score_head(t.features, HEAD_W, HEAD_B, method="columns")
+    return s.select("vec_id", F.posexplode("values").alias("j", "logit")).select(
+        "vec_id", F.col("j").cast("int").alias("j"), F.round("logit", 9).alias("logit"))
+
+
+@register("apply_model", osql.with_views("features") + _head_sql())
+def q_apply_model(t):
+    """L2: the same head as a user model on Arrow batches (mapInPandas, model built once per task)."""
+    s = score_head(t.features.select("vec_id", "f"), HEAD_W, HEAD_B, method="arrow")
+    return s.select("vec_id", F.posexplode("values").alias("j", "logit")).select(
+        "vec_id", F.col("j").cast("int").alias("j"), F.round("logit", 9).alias("logit"))
+
+
+# --- L4 fit the head ---------------------------------------------------------------------------------
+
+import uuid  # noqa: E402
+
+from boxframe.config import ANCHOR_GROUPS  # noqa: E402
+from boxframe.operators.assign import best_anchor  # noqa: E402
+from boxframe.operators.train import fit_head  # noqa: E402
+from boxframe.session import ensure_checkpoint_dir  # noqa: E402
+
+# Single-scale training fixture: one cell per image (grid 1x1), input 32x32, scale-0 anchors / 8.
+HEAD_ANCHORS = tuple(LOSS_ANCHORS[i] for i in ANCHOR_GROUPS[0])
+HEAD_BATCH = 200
+
+
+def head_cells(t):
+    """``(step, f, tgt, truths)``: features of each embedded image with its folded targets."""
+    g = t.gt.join(t.features.select(F.col("vec_id").alias("img_id")), "img_id", "left_semi").join(t.img, "img_id")
+    g = g.select("img_id", "box_id", "label",
+                 ((F.col("x_min") + F.col("x_max")) / 2 / F.col("width") * 32).alias("cx"),
+                 ((F.col("y_min") + F.col("y_max")) / 2 / F.col("height") * 32).alias("cy"),
+                 ((F.col("x_max") - F.col("x_min")) / F.col("width") * 32).alias("w"),
+                 ((F.col("y_max") - F.col("y_min")) / F.col("height") * 32).alias("h"))
+    g = g.withColumn("k", best_anchor(F.col("w"), F.col("h"), HEAD_ANCHORS)["a_idx"])
+    fold = g.groupBy("img_id", "k").agg(F.max_by(F.struct("cx", "cy", "w", "h"), "box_id").alias("geo"),
+                                         F.collect_set("label").alias("cls"))
+    per = fold.groupBy("img_id").agg(F.collect_list(F.struct("k", "geo", "cls")).alias("slots"))
+
+    def slot_vec(k):
+        hit = F.filter(F.col("slots"), lambda s: s["k"] == k)
+        s0 = F.try_element_at(hit, F.lit(1))
+        occupied = F.size(hit) > 0
+        geo = [F.when(occupied, s0["geo"][c]).otherwise(F.lit(0.0)) for c in ("cx", "cy", "w", "h")]
+        cls = [F.when(occupied & F.array_contains(s0["cls"], c), F.lit(1.0)).otherwise(F.lit(0.0)) for c in range(3)]
+        return [*geo, F.when(occupied, F.lit(1.0)).otherwise(F.lit(0.0)), F.lit(1.0), *cls]
+
+    per = per.select("img_id", F.array(*[v for k in range(3) for v in slot_vec(k)]).alias("tgt"),
+                     F.transform("slots", lambda s: F.array(s["geo"]["cx"], s["geo"]["cy"], s["geo"]["w"],
+                                                            s["geo"]["h"])).alias("truths"))
+    feats = t.features.select(F.col("vec_id").alias("img_id"), "f")
+    cells = feats.join(per, "img_id", "left").select(
+        "img_id", "f", F.coalesce("tgt", F.array(*([F.lit(0.0)] * 4 + [F.lit(0.0), F.lit(1.0)] + [F.lit(0.0)] * 3) * 3)).alias("tgt"),
+        "truths")
+    batches = epoch_batches(cells.select("img_id"), epochs=1, batch_size=HEAD_BATCH, seed=SEED)
+    return cells.join(batches.select("img_id", "step"), "img_id")
+
+
+@register("fit_head")
+def q_fit_head(t):
+    """One epoch of data-parallel head training (Adam, fixed rate); returns the loss per step.
+
+    Iterative, so no SQL oracle; the gradient is checked numerically in the tests."""
+    spark = t.spark
+    cells = head_cells(t)
+    n_steps = cells.agg(F.max("step")).collect()[0][0]
+    w0, b0 = head_weights(64, 24)
+    cfg = CFG.with_(lr_type="fixed", use_warm_up=False)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fit_head-{uuid.uuid4().hex}"
+    _, _, log = fit_head(cells, w0 * 0.1, b0 * 0.1, HEAD_ANCHORS, img_w=32, img_h=32, class_num=3,
+                         steps=int(n_steps or 0) + 1, table_path=path, cfg=cfg, optimizer="adam")
+    schema = "step long, loss double, lr double"
+    return spark.createDataFrame([(r["step"], r["loss"], r["lr"]) for r in log], schema)
