@@ -446,3 +446,30 @@ def q_fit_head(t):
                          steps=int(n_steps or 0) + 1, table_path=path, cfg=cfg, optimizer="adam")
     schema = "step long, loss double, lr double"
     return spark.createDataFrame([(r["step"], r["loss"], r["lr"]) for r in log], schema)
+
+
+# --- A1-A10 augmentation and dense targets (randomised / NumPy: rows-only checks) ------------------
+
+from boxframe.operators.assign import dense_targets  # noqa: E402
+from boxframe.operators.augment import augment  # noqa: E402
+from boxframe.functions.boxes import COORDS  # noqa: E402
+
+
+@register("augment_boxes")
+def q_augment_boxes(t):
+    """A1/A4/A6-A8 box side: expand, constrained random crop, resize to 416, flip; seeded per image."""
+    nested = (t.gt.groupBy("img_id")
+                  .agg(F.collect_list(F.struct("box_id", "label", *COORDS, F.lit(1.0).alias("weight"))).alias("boxes"))
+                  .join(t.img, "img_id"))
+    out = augment(nested, (416, 416), seed=SEED, epoch=0)
+    return (out.select("img_id", "interp", "flip_h", "crop_w", "crop_h", F.explode("boxes").alias("b"))
+               .select("img_id", "interp", "flip_h", "crop_w", "crop_h", "b.box_id", "b.label", *[f"b.{c}" for c in COORDS]))
+
+
+@register("dense_targets")
+def q_dense_targets(t):
+    """A10: dense grids for the 64x32 loss fixture (3 scales per image)."""
+    imgs = t.embeddings.select(F.col("vec_id").alias("img_id"), F.lit(64).alias("img_w"), F.lit(32).alias("img_h"))
+    d = dense_targets(loss_targets(t), imgs, 3)
+    return d.select("img_id", "scale", "grid_h", "grid_w", F.size("values").alias("n_values"),
+                    F.aggregate("values", F.lit(0.0), lambda a, x: a + x.cast("double")).alias("value_sum"))
