@@ -22,7 +22,7 @@ DET_KEY = ("img_id", "pred_id")
 
 def best_truth(det: DataFrame, truth: DataFrame, *, by_label: bool, variant: str = "eps",
                cell: float = 256.0, min_iou: float | None = None) -> DataFrame:
-    """Add ``best_box_id`` and ``best_iou`` to every detection.
+    """Add ``best_box_id``, ``best_iou`` and ``best_label`` to every detection.
 
     The best truth has the highest IoU among the image's truths (of the same
     class when ``by_label``), the lowest ``box_id`` on ties.  A detection that
@@ -35,22 +35,25 @@ def best_truth(det: DataFrame, truth: DataFrame, *, by_label: bool, variant: str
     """
     keys = ["img_id", "label"] if by_label else ["img_id"]
     a = det.select(*keys, "pred_id", *[F.col(c).alias(f"a_{c}") for c in COORDS])
-    b = truth.select(*keys, F.col("box_id").alias("b_box_id"), *[F.col(c).alias(f"b_{c}") for c in COORDS])
+    extra = [] if by_label else [F.col("label").alias("b_label")]
+    b = truth.select(*keys, F.col("box_id").alias("b_box_id"), *extra, *[F.col(c).alias(f"b_{c}") for c in COORDS])
     pairs = overlap_join(a, b, keys, pad=PAD_FOR_VARIANT[variant], cell=cell, normalise=(variant == "tf"))
     abox = F.struct(*[F.col(f"a_{c}").alias(c) for c in COORDS])
     bbox = F.struct(*[F.col(f"b_{c}").alias(c) for c in COORDS])
-    scored = pairs.select("img_id", "pred_id", iou(abox, bbox, variant).alias("__ov"), "b_box_id")
+    blabel = F.col("b_label") if not by_label else F.col("label")
+    scored = pairs.select("img_id", "pred_id", iou(abox, bbox, variant).alias("__ov"), "b_box_id",
+                          blabel.alias("b_label"))
     if min_iou is not None:
         scored = scored.filter(F.col("__ov") > F.lit(float(min_iou)))
     best = (scored.groupBy(*DET_KEY)
-                  .agg(F.max(F.struct(F.col("__ov"), F.negative(F.col("b_box_id")).alias("__nb"))).alias("__m"))
+                  .agg(F.max(F.struct(F.col("__ov"), F.negative(F.col("b_box_id")).alias("__nb"),
+                                      F.col("b_label"))).alias("__m"))
                   .select(*DET_KEY, F.col("__m.__ov").alias("best_iou"),
-                          F.negative(F.col("__m.__nb")).alias("best_box_id")))
+                          F.negative(F.col("__m.__nb")).alias("best_box_id"), F.col("__m.b_label").alias("best_label")))
     return det.join(best, list(DET_KEY), "left")
 
 
-def match_winners(matched: DataFrame, iou_threshold: float, *, same_label: bool = True,
-                  truth_labels: DataFrame | None = None) -> DataFrame:
+def match_winners(matched: DataFrame, iou_threshold: float, *, same_label: bool = True) -> DataFrame:
     """Flag ``tp`` = 1 on the single detection that claims each truth.
 
     A detection claims its best truth if ``best_iou > t`` (and, for the
@@ -58,9 +61,8 @@ def match_winners(matched: DataFrame, iou_threshold: float, *, same_label: bool
     truth the highest score wins, lowest ``pred_id`` on ties (a min-aggregate,
     combined map-side, so a much-claimed truth is no hot group)."""
     claim = matched.filter(F.col("best_iou") > F.lit(float(iou_threshold)))
-    if not same_label and truth_labels is not None:
-        tl = truth_labels.select("img_id", F.col("box_id").alias("best_box_id"), F.col("label").alias("__tl"))
-        claim = claim.join(tl, ["img_id", "best_box_id"]).filter(F.col("__tl") == F.col("label"))
+    if not same_label:
+        claim = claim.filter(F.col("best_label") == F.col("label"))
     win = (claim.groupBy("img_id", "best_box_id")
                 .agg(F.min(F.struct(F.negative(F.col("score")).alias("__s"), F.col("pred_id"))).alias("__w"))
                 .select("img_id", F.col("__w.pred_id").alias("pred_id"), F.lit(1).alias("tp")))
@@ -84,7 +86,7 @@ def evaluate_matches(det: DataFrame, truth: DataFrame, iou_threshold: float = 0.
     step bucket derived from the image) evaluate several batches at once."""
     g = list(group_cols)
     m = best_truth(det, truth, by_label=False, variant="eps", min_iou=iou_threshold)
-    flagged = match_winners(m, iou_threshold, same_label=False, truth_labels=truth)
+    flagged = match_winners(m, iou_threshold, same_label=False)
     tp = flagged.groupBy(*g, "label").agg(F.sum("tp").cast("bigint").alias("n_tp"),
                                           F.count(F.lit(1)).alias("n_pred"))
     nt = truth.groupBy(*g, "label").agg(F.count(F.lit(1)).alias("n_true"))

@@ -26,13 +26,15 @@ ROUND = 9
 
 
 def pr_curve(det: DataFrame, truth: DataFrame, iou_threshold: float = 0.5, *,
-             rank_strategy: str = "two_pass") -> DataFrame:
+             rank_strategy: str = "two_pass", npos: DataFrame | None = None) -> DataFrame:
     """One row per detection with ``rank, tp, cum_tp, precision, recall, envelope``."""
     m = best_truth(det, truth, by_label=True, variant="voc", min_iou=iou_threshold)
     flagged = match_winners(m, iou_threshold).select("img_id", "pred_id", "label", "score", "tp")
     ranked = global_rank(flagged, ["label"], RANK_ORDER, {"cum_tp": F.col("tp")}, strategy=rank_strategy)
-    npos = class_counts(truth, name="npos")
-    ranked = ranked.join(npos, "label", "left")  # AQE broadcasts it after measuring its size
+    npos = npos if npos is not None else class_counts(truth, name="npos")
+    npos = npos.select(F.col("label").alias("__nl"), F.col("npos").alias("npos"))  # fresh ids: joined twice
+    ranked = (ranked.join(npos, ranked["label"] == npos["__nl"], "left")  # AQE broadcasts it after sizing it
+                    .drop("__nl"))
     ranked = (ranked.withColumn("precision", F.col("cum_tp") / F.col("rank"))
                     .withColumn("recall", F.try_divide(F.col("cum_tp").cast("double"), F.col("npos"))))
     return suffix_max(ranked, ["label"], RANK_ORDER, F.col("precision"), "envelope", strategy=rank_strategy)
@@ -45,14 +47,14 @@ def voc_eval(det: DataFrame, truth: DataFrame, iou_threshold: float = 0.5, use_0
     Classes present in the truth or the detections.  No detections: nd = 0,
     recall = precision = ap = 0 (``parity=True`` also reports npos = nd = 1e-6
     as the studied code does).  No truth: recall and ap are NULL."""
-    curve = pr_curve(det, truth, iou_threshold, rank_strategy=rank_strategy)
+    npos = class_counts(truth, name="npos")
+    curve = pr_curve(det, truth, iou_threshold, rank_strategy=rank_strategy, npos=npos)
     aggs = [F.count(F.lit(1)).alias("nd"), F.sum("tp").cast("bigint").alias("tp"),
             F.sum(F.when(F.col("tp") == 1, F.col("envelope"))).alias("env_sum")]
     if use_07_metric:
         aggs += [F.max(F.when(F.col("recall") >= F.lit(t), F.col("precision"))).alias(f"p{i}")
                  for i, t in enumerate(ELEVEN_POINTS)]
     per = curve.groupBy("label").agg(*aggs)
-    npos = class_counts(truth, name="npos")
     j = npos.join(per, "label", "full")
     n_pos = F.coalesce(F.col("npos"), F.lit(0)).cast("bigint")
     n_d = F.coalesce(F.col("nd"), F.lit(0)).cast("bigint")

@@ -10,7 +10,7 @@ from boxframe.operators.assign import assign_anchors, class_mask, encode_targets
 from boxframe.operators.decode import decode, predict_boxes, to_detections, with_argmax
 from boxframe.operators.match import class_counts, evaluate_matches, merge_counts
 from boxframe.operators.nms import nms
-from boxframe.operators.spatial import overlap_join
+from boxframe.operators.spatial import overlap_self_join
 from boxframe.plans import oracle_sql as osql
 from boxframe.plans.catalog import register
 from boxframe.sources.annotations import explode_boxes, format_annotation, scan_annotations, truth_table
@@ -302,13 +302,12 @@ FROM pred a JOIN pred b ON a.img_id = b.img_id AND a.label = b.label AND a.pred_
 WHERE {osql._iou_sql('a.', 'b.', 'tf')} > 0.5""")
 def q_overlap_pairs(t):
     """Pairs in one image and class with IoU > 0.5 (grid join, never all pairs)."""
-    p = t.pred
-    a = p.select("img_id", "label", F.col("pred_id").alias("a_id"), *[F.col(c).alias(f"a_{c}") for c in COORDS])
-    b = p.select("img_id", "label", F.col("pred_id").alias("b_id"), *[F.col(c).alias(f"b_{c}") for c in COORDS])
-    j = overlap_join(a, b, ["img_id", "label"], normalise=True)
+    p = t.pred.select("img_id", "label", "pred_id", *COORDS)
+    j = overlap_self_join(p, ["img_id", "label"], normalise=True)
     v = iou(_box("a_"), _box("b_"), "tf")
-    return (j.filter((F.col("a_id") < F.col("b_id")) & (v > 0.5))
-             .select("img_id", "label", "a_id", "b_id", F.round(v, R).alias("iou")))
+    return (j.filter((F.col("a_pred_id") < F.col("b_pred_id")) & (v > 0.5))
+             .select("img_id", "label", F.col("a_pred_id").alias("a_id"), F.col("b_pred_id").alias("b_id"),
+                     F.round(v, R).alias("iou")))
 
 
 def osql_det_cols():
