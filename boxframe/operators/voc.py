@@ -71,7 +71,7 @@ def voc_eval(det: DataFrame, truth: DataFrame, iou_threshold: float = 0.5, use_0
         ap = F.when(has_pos, F.when(n_d > 0, F.coalesce(F.col("env_sum"), F.lit(0.0)) / n_pos)
                     .otherwise(F.lit(0.0)))
     out = j.select("label", n_pos.alias("npos"), n_d.alias("nd"), n_tp.alias("tp"),
-                   F.round(recall, ROUND).alias("recall"), F.round(precision, ROUND).alias("precision"),
+                   recall.alias("recall"), precision.alias("precision"),
                    F.round(ap, ROUND).alias("ap"))
     if parity:
         none = F.col("nd") == 0

@@ -55,6 +55,17 @@ FROM events""", ("events",)),
 
 # Views whose text differs between the engines (array functions).
 SPARK_ONLY_SQL: dict[str, tuple[str, tuple[str, ...]]] = {
+    # same rows as the shared text, with the three copies made by explode instead of a join
+    "pred": ("""
+SELECT img_id, box_id * 10 + k AS pred_id,
+       CAST((label + CASE WHEN (img_id + box_id * 3 + k) % 9 = 0 THEN 1 ELSE 0 END) % 3 AS INT) AS label,
+       x_min + (img_id * 3 + k * 5 + box_id) % 23 - 11 AS x_min,
+       y_min + (img_id * 7 + k * 3 + box_id) % 19 - 9 AS y_min,
+       x_max + (img_id * 5 + k * 7) % 17 - 8 AS x_max,
+       y_max + (img_id + k * 11) % 21 - 10 AS y_max,
+       CAST(3000 + (img_id * 17 + box_id * 1013 + k * 2503) % 7000 AS DOUBLE) / 10000 AS score
+FROM gt LATERAL VIEW explode(array(0, 1, 2)) c AS k
+WHERE (img_id + box_id) % 7 <> 0""", ("gt",)),
     "cellmap": ("""
 SELECT vec_id AS img_id, CAST(pos AS INT) AS pos, CAST(v AS DOUBLE) * 8 AS logit
 FROM embeddings LATERAL VIEW posexplode(slice(embedding, 1, 48)) t AS pos, v""", ("embeddings",)),

@@ -127,9 +127,8 @@ voc_cls AS (
          CAST(coalesce(n.npos, 0) AS BIGINT) AS npos,
          CAST(coalesce(p.nd, 0) AS BIGINT) AS nd,
          CAST(coalesce(p.tp, 0) AS BIGINT) AS tp,
-         round(CASE WHEN coalesce(n.npos, 0) > 0 THEN CAST(coalesce(p.tp, 0) AS DOUBLE) / n.npos END, 9) AS recall,
-         round(CASE WHEN coalesce(p.nd, 0) > 0 THEN CAST(p.tp AS DOUBLE) / p.nd ELSE CAST(0.0 AS DOUBLE) END, 9)
-           AS precision,
+         CASE WHEN coalesce(n.npos, 0) > 0 THEN CAST(coalesce(p.tp, 0) AS DOUBLE) / n.npos END AS recall,
+         CASE WHEN coalesce(p.nd, 0) > 0 THEN CAST(p.tp AS DOUBLE) / p.nd ELSE CAST(0.0 AS DOUBLE) END AS precision,
          round(CASE WHEN coalesce(n.npos, 0) > 0 THEN
                  CASE WHEN coalesce(p.nd, 0) > 0 THEN {('(' + ap11 + ')') if use_07 else 'coalesce(p.env_sum, 0.0) / n.npos'}
                       ELSE CAST(0.0 AS DOUBLE) END END, 9) AS ap

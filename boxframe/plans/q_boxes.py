@@ -27,11 +27,11 @@ def _box(prefix=""):
 
 _IOU_SQL = osql.with_views("pred") + f"""
 SELECT p.img_id, p.pred_id, t.box_id,
-       round({osql._iou_sql('p.', 't.', 'eps')}, {R}) AS iou_eps,
-       round({osql._iou_sql('p.', 't.', 'plain')}, {R}) AS iou_plain,
-       round({osql._iou_sql('p.', 't.', 'voc')}, {R}) AS iou_voc,
-       round({osql._iou_sql('p.', 't.', 'py')}, {R}) AS iou_py,
-       round({osql._iou_sql('p.', 't.', 'tf')}, {R}) AS iou_tf,
+       {osql._iou_sql('p.', 't.', 'eps')} AS iou_eps,
+       {osql._iou_sql('p.', 't.', 'plain')} AS iou_plain,
+       {osql._iou_sql('p.', 't.', 'voc')} AS iou_voc,
+       {osql._iou_sql('p.', 't.', 'py')} AS iou_py,
+       {osql._iou_sql('p.', 't.', 'tf')} AS iou_tf,
        (p.x_max - p.x_min) * (p.y_max - p.y_min) AS area,
        (t.x_min + t.x_max) / 2 AS t_cx, (t.y_min + t.y_max) / 2 AS t_cy
 FROM pred p JOIN gt t ON t.img_id = p.img_id AND t.box_id = p.pred_id // 10"""
@@ -46,7 +46,7 @@ def q_box_iou(t):
     a, b = _box(), _box("t_")
     c = to_center(b)
     return j.select("img_id", "pred_id", "box_id",
-                    *[F.round(iou(a, b, v), R).alias(f"iou_{v}") for v in ("eps", "plain", "voc", "py", "tf")],
+                    *[iou(a, b, v).alias(f"iou_{v}") for v in ("eps", "plain", "voc", "py", "tf")],
                     box_area(a).alias("area"), c["cx"].alias("t_cx"), c["cy"].alias("t_cy"))
 
 
@@ -87,10 +87,10 @@ def _assigned(t):
 
 
 @register("assign_anchors", osql.with_views("gt", extra=_ASSIGN_CTE) +
-          f"SELECT img_id, box_id, a_idx, round(anchor_iou, {R}) AS anchor_iou, scale, k, gx, gy FROM asg_out")
+          "SELECT img_id, box_id, a_idx, anchor_iou, scale, k, gx, gy FROM asg_out")
 def q_assign_anchors(t):
     """J1 + B9: best anchor by size-only IoU (first on ties), its scale, slot and clamped cell."""
-    return _assigned(t).select("img_id", "box_id", "a_idx", F.round("anchor_iou", R).alias("anchor_iou"),
+    return _assigned(t).select("img_id", "box_id", "a_idx", "anchor_iou",
                                "scale", "k", "gx", "gy")
 
 
@@ -117,8 +117,8 @@ SELECT g.img_id, g.box_id, g.label,
        CASE WHEN g.img_id % 3 = 0 THEN i.height - g.y_min ELSE g.y_max END AS f_y_max,
        g.x_min + (g.img_id * 7) % i.width AS e_x_min, g.y_min + (g.img_id * 11) % i.height AS e_y_min,
        g.x_max + (g.img_id * 7) % i.width AS e_x_max, g.y_max + (g.img_id * 11) % i.height AS e_y_max,
-       round(g.x_min / i.width * 416, {R}) AS r_x_min, round(g.y_min / i.height * 416, {R}) AS r_y_min,
-       round(g.x_max / i.width * 416, {R}) AS r_x_max, round(g.y_max / i.height * 416, {R}) AS r_y_max
+       g.x_min / i.width * 416 AS r_x_min, g.y_min / i.height * 416 AS r_y_min,
+       g.x_max / i.width * 416 AS r_x_max, g.y_max / i.height * 416 AS r_y_max
 FROM gt g JOIN img i ON i.img_id = g.img_id"""
 
 
@@ -141,7 +141,7 @@ def q_box_transforms(t):
     return z.select("img_id", F.col("z.f.box_id").alias("box_id"), F.col("z.f.label").alias("label"),
                     *[F.col(f"z.f.{c}").alias(f"f_{c}") for c in COORDS],
                     *[F.col(f"z.e.{c}").alias(f"e_{c}") for c in COORDS],
-                    *[F.round(F.col(f"z.r.{c}"), R).alias(f"r_{c}") for c in COORDS])
+                    *[F.col(f"z.r.{c}").alias(f"r_{c}") for c in COORDS])
 
 
 _CROP_SQL = osql.with_views("gt") + """
@@ -297,7 +297,7 @@ def q_evaluate_batch(t):
 
 
 @register("overlap_pairs", osql.with_views("pred") + f"""
-SELECT a.img_id, a.label, a.pred_id AS a_id, b.pred_id AS b_id, round({osql._iou_sql('a.', 'b.', 'tf')}, {R}) AS iou
+SELECT a.img_id, a.label, a.pred_id AS a_id, b.pred_id AS b_id, {osql._iou_sql('a.', 'b.', 'tf')} AS iou
 FROM pred a JOIN pred b ON a.img_id = b.img_id AND a.label = b.label AND a.pred_id < b.pred_id
 WHERE {osql._iou_sql('a.', 'b.', 'tf')} > 0.5""")
 def q_overlap_pairs(t):
@@ -307,7 +307,7 @@ def q_overlap_pairs(t):
     v = iou(_box("a_"), _box("b_"), "tf")
     return (j.filter((F.col("a_pred_id") < F.col("b_pred_id")) & (v > 0.5))
              .select("img_id", "label", F.col("a_pred_id").alias("a_id"), F.col("b_pred_id").alias("b_id"),
-                     F.round(v, R).alias("iou")))
+                     v.alias("iou")))
 
 
 def osql_det_cols():

@@ -2,7 +2,7 @@
 
 Usage: python tools/oracle_check.py [sf_dir] [name ...]
 Compares row count, column names, and an order-insensitive hash of the values
-(columns sorted by name, floats rounded to 9 places).
+(columns sorted by name, floats rounded to 9 places; STRICT=1 compares exact floats).
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import json
 import math
+import os
 import sys
 import time
 
@@ -22,11 +23,14 @@ from boxframe.plans.fixtures import BASE_TABLES  # noqa: E402
 from boxframe.session import local_session  # noqa: E402
 
 
+STRICT = os.environ.get("STRICT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 9))
+        return repr(v) if STRICT else repr(round(v, 9))
     if hasattr(v, "isoformat"):
         return v.isoformat()
     if isinstance(v, (list, tuple)):
