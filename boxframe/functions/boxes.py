@@ -220,3 +220,24 @@ def expand_boxes(boxes: Column, off_x, off_y) -> Column:
 def rescale_boxes(boxes: Column, from_w, from_h, to_w, to_h) -> Column:
     """B5 on an array."""
     return F.transform(boxes, lambda x: with_box(x, rescale_box(x, from_w, from_h, to_w, to_h)))
+
+
+def crop_box(b: BoxLike, left, top, width, height) -> Column:
+    """B8 for one box (row form): clipped, translated corners; use :func:`crop_keep` to filter."""
+    x0, y0, x1, y1 = xyxy(b)
+    l, t = _c(left).cast("double"), _c(top).cast("double")
+    r, btm = l + _c(width).cast("double"), t + _c(height).cast("double")
+    return F.struct((F.greatest(x0, l) - l).alias("x_min"), (F.greatest(y0, t) - t).alias("y_min"),
+                    (F.least(x1, r) - l).alias("x_max"), (F.least(y1, btm) - t).alias("y_max"))
+
+
+def crop_keep(b: BoxLike, left, top, width, height, allow_outside_center: bool = True) -> Column:
+    """Whether a box survives the crop (non-empty after clipping; centre test optional)."""
+    x0, y0, x1, y1 = xyxy(b)
+    l, t = _c(left).cast("double"), _c(top).cast("double")
+    r, btm = l + _c(width).cast("double"), t + _c(height).cast("double")
+    keep = (F.greatest(x0, l) < F.least(x1, r)) & (F.greatest(y0, t) < F.least(y1, btm))
+    if not allow_outside_center:
+        cx, cy = (x0 + x1) / 2, (y0 + y1) / 2
+        keep = keep & (l <= cx) & (cx < r) & (t <= cy) & (cy < btm)
+    return keep

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from boxframe.config import DEFAULT_ANCHORS, parse_anchor_string
-from boxframe.functions.boxes import COORDS, box_area, crop_boxes, expand_boxes, flip_boxes, iou, rescale_boxes, to_center
+from boxframe.functions.boxes import (COORDS, box_area, crop_box, crop_keep, flip_box, iou, rescale_box, shift_box,
+                                     to_center)
 from boxframe.operators.assign import assign_anchors, class_mask, encode_targets
 from boxframe.operators.decode import decode, predict_boxes, to_detections, with_argmax
 from boxframe.operators.match import class_counts, evaluate_matches, merge_counts
@@ -122,26 +123,19 @@ SELECT g.img_id, g.box_id, g.label,
 FROM gt g JOIN img i ON i.img_id = g.img_id"""
 
 
-def _nested_gt(t):
-    """Truth in nested form: one row per image with its box array (plus its size)."""
-    boxes = t.gt.groupBy("img_id").agg(F.collect_list(F.struct("box_id", "label", *COORDS)).alias("boxes"))
-    return boxes.join(t.img, "img_id")
-
-
 @register("box_transforms", _TRANSFORM_SQL)
 def q_box_transforms(t):
-    """B5 rescale to 416, B6 flip (h: even ids, v: ids divisible by 3), B7 expand offsets."""
-    n = _nested_gt(t)
+    """B5 rescale to 416, B6 flip (h: even ids, v: ids divisible by 3), B7 expand offsets.
+
+    Row form: each box joined to its image size (a hot image is just many rows)."""
+    g = t.gt.join(t.img, "img_id")
     w, h = F.col("width"), F.col("height")
-    n = n.select("img_id",
-                 flip_boxes(F.col("boxes"), w, h, F.col("img_id") % 2 == 0, F.col("img_id") % 3 == 0).alias("f"),
-                 expand_boxes(F.col("boxes"), (F.col("img_id") * 7) % w, (F.col("img_id") * 11) % h).alias("e"),
-                 rescale_boxes(F.col("boxes"), w, h, F.lit(416), F.lit(416)).alias("r"))
-    z = n.select("img_id", F.explode(F.arrays_zip("f", "e", "r")).alias("z"))
-    return z.select("img_id", F.col("z.f.box_id").alias("box_id"), F.col("z.f.label").alias("label"),
-                    *[F.col(f"z.f.{c}").alias(f"f_{c}") for c in COORDS],
-                    *[F.col(f"z.e.{c}").alias(f"e_{c}") for c in COORDS],
-                    *[F.col(f"z.r.{c}").alias(f"r_{c}") for c in COORDS])
+    b = _box()
+    f = flip_box(b, w, h, F.col("img_id") % 2 == 0, F.col("img_id") % 3 == 0)
+    e = shift_box(b, (F.col("img_id") * 7) % w, (F.col("img_id") * 11) % h)
+    r = rescale_box(b, w, h, F.lit(416), F.lit(416))
+    return g.select("img_id", "box_id", "label", *[f[c].alias(f"f_{c}") for c in COORDS],
+                    *[e[c].alias(f"e_{c}") for c in COORDS], *[r[c].alias(f"r_{c}") for c in COORDS])
 
 
 _CROP_SQL = osql.with_views("gt") + """
@@ -159,14 +153,13 @@ SELECT * FROM c WHERE x_min < x_max AND y_min < y_max"""
 
 @register("crop_boxes", _CROP_SQL)
 def q_crop_boxes(t):
-    """Crop to the centre half of each image, centre test on, empty boxes dropped."""
-    n = _nested_gt(t)
-    l = F.floor(F.col("width") / 4)
-    tp = F.floor(F.col("height") / 4)
-    cropped = crop_boxes(F.col("boxes"), l, tp, F.floor(F.col("width") / 2), F.floor(F.col("height") / 2),
-                         allow_outside_center=False)
-    return (n.select("img_id", F.explode(cropped).alias("b"))
-             .select("img_id", "b.box_id", "b.label", *[f"b.{c}" for c in COORDS]))
+    """Crop to the centre half of each image, centre test on, empty boxes dropped (row form)."""
+    g = t.gt.join(t.img, "img_id")
+    win = (F.floor(F.col("width") / 4), F.floor(F.col("height") / 4),
+           F.floor(F.col("width") / 2), F.floor(F.col("height") / 2))
+    c = crop_box(_box(), *win)
+    return (g.filter(crop_keep(_box(), *win, allow_outside_center=False))
+             .select("img_id", "box_id", "label", *[c[x].alias(x) for x in COORDS]))
 
 
 # --- B10-B14: decode a feature map (embedding = one 1x2 grid, 3 anchors, 5+3 channels) ------
@@ -261,10 +254,10 @@ def q_merge_counts(t):
     return merge_counts([class_counts(t.gt, name="n_true"), class_counts(t.pred, name="n_pred")])
 
 
-_EVAL_CTE = osql.nms_sql("pred") + """,
+_EVAL_TMPL = """,
 ev_pairs AS (
   SELECT d.img_id, d.pred_id, d.label, d.score, t.box_id, t.label AS t_label, {ov} AS ov
-  FROM nms_out d LEFT JOIN gt t ON t.img_id = d.img_id),
+  FROM nms_out d LEFT JOIN {truth} t ON t.img_id = d.img_id),
 ev_best AS (
   SELECT * FROM ev_pairs QUALIFY row_number() OVER (PARTITION BY img_id, pred_id ORDER BY ov DESC NULLS LAST, box_id) = 1),
 ev_claim AS (
@@ -272,7 +265,7 @@ ev_claim AS (
   QUALIFY row_number() OVER (PARTITION BY img_id, box_id ORDER BY score DESC, pred_id) = 1),
 ev_tp AS (SELECT label, count(*) AS n_tp FROM ev_claim GROUP BY label),
 ev_pred AS (SELECT label, count(*) AS n_pred FROM nms_out GROUP BY label),
-ev_true AS (SELECT label, count(*) AS n_true FROM gt GROUP BY label),
+ev_true AS (SELECT label, count(*) AS n_true FROM {truth} GROUP BY label),
 ev AS (
   SELECT coalesce(t.label, p.label) AS label, CAST(coalesce(t.n_true, 0) AS BIGINT) AS n_true,
          CAST(coalesce(p.n_pred, 0) AS BIGINT) AS n_pred, CAST(coalesce(x.n_tp, 0) AS BIGINT) AS n_tp
@@ -280,6 +273,13 @@ ev AS (
 """.replace("{ov}", osql._iou_sql("d.", "t.", "eps"))
 
 
+def _eval_cte(truth: str = "gt") -> str:
+    return _EVAL_TMPL.replace("{truth}", truth)
+
+
+_EVAL_CTE = osql.nms_sql("pred") + _eval_cte("gt")
+
+
 @register("evaluate_matches", osql.with_views("pred", extra=_EVAL_CTE) + "SELECT * FROM ev")
 def q_evaluate_matches(t):
     """G3 (per class): after NMS, best truth over all classes (eps IoU), distinct claimed truths."""
@@ -312,3 +312,25 @@ def q_overlap_pairs(t):
 
 def osql_det_cols():
     return ("img_id", "label", "pred_id", "score", *COORDS)
+
+
+# --- Q8: evaluation against the truth read back from the target grid ---------------------------
+
+from boxframe.operators.assign import grid_truth  # noqa: E402
+
+_GRID_TRUTH_CTE = _ASSIGN_CTE + """,
+gtg AS (
+  SELECT img_id, CAST(((scale * 10000 + gy) * 10000 + gx) * 3 + k AS BIGINT) AS box_id,
+         CAST(CASE WHEN mask & 1 <> 0 THEN 0 WHEN mask & 2 <> 0 THEN 1 ELSE 2 END AS INT) AS label,
+         cx - w / 2 AS x_min, cy - h / 2 AS y_min, cx + w / 2 AS x_max, cy + h / 2 AS y_max
+  FROM (SELECT img_id, scale, gy, gx, k, arg_max(cx, box_id) AS cx, arg_max(cy, box_id) AS cy,
+               arg_max(w, box_id) AS w, arg_max(h, box_id) AS h, CAST(sum(DISTINCT (1 << label)) AS BIGINT) AS mask
+        FROM asg_out GROUP BY img_id, scale, gy, gx, k) z)"""
+
+
+@register("evaluate_grid_truth", osql.with_views("pred", extra=_GRID_TRUTH_CTE + "," + osql.nms_sql("pred")
+                                                  + _eval_cte("gtg")) + "SELECT * FROM ev")
+def q_evaluate_grid_truth(t):
+    """G3 with truth="grid" (Q8): truth boxes rebuilt from the encoded targets, so collided boxes are lost."""
+    truth = grid_truth(encode_targets(_assigned(t)))
+    return evaluate_matches(nms(t.pred.select(*osql_det_cols()), 0.5, 0.5, 50), truth, 0.5, per_class=True)

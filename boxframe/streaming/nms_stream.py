@@ -42,7 +42,7 @@ def start_nms_stream(spark: SparkSession, source_dir: str, out_dir: str, late_di
         if seen is not None:
             fresh = batch.join(seen, "img_id", "left_anti")
             late = batch.join(seen, "img_id", "left_semi")
-        kept = nms(fresh, iou_threshold, score_threshold, topk, variant, strategy="fold")
+        kept = nms(fresh, iou_threshold, score_threshold, topk, variant)
         kept.withColumn("epoch_id", F.lit(epoch_id)).write.mode("overwrite").parquet(f"{out_dir}/epoch_id={epoch_id}")
         if late is not None:
             late.withColumn("epoch_id", F.lit(epoch_id)).write.mode("overwrite").parquet(f"{late_dir}/epoch_id={epoch_id}")
