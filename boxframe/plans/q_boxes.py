@@ -283,7 +283,7 @@ _EVAL_CTE = osql.nms_sql("pred") + _eval_cte("gt")
 @register("evaluate_matches", osql.with_views("pred", extra=_EVAL_CTE) + "SELECT * FROM ev")
 def q_evaluate_matches(t):
     """G3 (per class): after NMS, best truth over all classes (eps IoU), distinct claimed truths."""
-    return evaluate_matches(nms(t.pred.select(*osql_det_cols()), 0.5, 0.5, 50), t.gt, 0.5, per_class=True)
+    return evaluate_matches(_kept(t), t.gt, 0.5, per_class=True)
 
 
 @register("evaluate_batch", osql.with_views("pred", extra=_EVAL_CTE) + """
@@ -293,7 +293,7 @@ FROM (SELECT CAST(sum(n_true) AS BIGINT) AS n_true, CAST(sum(n_pred) AS BIGINT)
              CAST(sum(n_tp) AS BIGINT) AS n_tp FROM ev)""")
 def q_evaluate_batch(t):
     """G3 (calc_now): pooled recall = TP/(truth+1e-6), precision = TP/(pred+1e-6)."""
-    return evaluate_matches(nms(t.pred.select(*osql_det_cols()), 0.5, 0.5, 50), t.gt, 0.5, per_class=False)
+    return evaluate_matches(_kept(t), t.gt, 0.5, per_class=False)
 
 
 @register("overlap_pairs", osql.with_views("pred") + f"""
@@ -310,6 +310,11 @@ def q_overlap_pairs(t):
                      v.alias("iou")))
 
 
+def _kept(t):
+    from boxframe.session import cut_lineage
+    return cut_lineage(nms(t.pred.select(*osql_det_cols()), 0.5, 0.5, 50))
+
+
 def osql_det_cols():
     return ("img_id", "label", "pred_id", "score", *COORDS)
 
@@ -333,4 +338,4 @@ gtg AS (
 def q_evaluate_grid_truth(t):
     """G3 with truth="grid" (Q8): truth boxes rebuilt from the encoded targets, so collided boxes are lost."""
     truth = grid_truth(encode_targets(_assigned(t)))
-    return evaluate_matches(nms(t.pred.select(*osql_det_cols()), 0.5, 0.5, 50), truth, 0.5, per_class=True)
+    return evaluate_matches(_kept(t), truth, 0.5, per_class=True)

@@ -349,7 +349,8 @@ SELECT CAST(coalesce(t.bucket, p.bucket) AS BIGINT) AS bucket, CAST(coalesce(t.n
 FROM ev_true t FULL OUTER JOIN ev_pred p ON p.bucket = t.bucket LEFT JOIN ev_tp x ON x.bucket = coalesce(t.bucket, p.bucket)""")
 def q_evaluate_by_step(t):
     """Batch evaluation every 100 steps of 20 images (bucket = img_id div 2000)."""
-    det = nms(t.pred.select("img_id", "label", "pred_id", "score", "x_min", "y_min", "x_max", "y_max"), 0.5, 0.5, 50)
+    det = cut_lineage(nms(t.pred.select("img_id", "label", "pred_id", "score", "x_min", "y_min", "x_max", "y_max"),
+                          0.5, 0.5, 50))
     bucket = lambda df: df.withColumn("bucket", F.floor(F.col("img_id") / 2000).cast("bigint"))
     return evaluate_matches(bucket(det), bucket(t.gt), 0.5, per_class=False, group_cols=["bucket"])
 
@@ -392,7 +393,7 @@ import uuid  # noqa: E402
 from boxframe.config import ANCHOR_GROUPS  # noqa: E402
 from boxframe.operators.assign import best_anchor  # noqa: E402
 from boxframe.operators.train import fit_head  # noqa: E402
-from boxframe.session import ensure_checkpoint_dir  # noqa: E402
+from boxframe.session import cut_lineage, ensure_checkpoint_dir  # noqa: E402
 
 # Single-scale training fixture: one cell per image (grid 1x1), input 32x32, scale-0 anchors / 8.
 HEAD_ANCHORS = tuple(LOSS_ANCHORS[i] for i in ANCHOR_GROUPS[0])

@@ -52,7 +52,7 @@ def scan_annotations(source, mode: str = "FAILFAST", spark: SparkSession | None
     if isinstance(source, DataFrame):
         df = source
     else:
-        df = spark.read.text(source)
+        df = (spark or SparkSession.getActiveSession()).read.text(source)
     toks = df.select(F.split(F.trim(F.col(value_col)), " ").alias("__t")).filter(F.element_at("__t", 1) != "")
     return toks.select(parse_tokens(F.col("__t"), mode).alias("__a")).select("__a.*")
 
@@ -82,16 +82,16 @@ def truth_table(annotations: DataFrame, dims: DataFrame, resize_w: int = 416, re
                     (F.col("y_max") * resize_h / F.col("height")).alias("y_max"))
 
 
-def scan_class_names(path: str, spark: SparkSession) -> DataFrame:
+def scan_class_names(path: str, spark: SparkSession | None = None) -> DataFrame:
     """One name per line, id = line number (0-based); trailing newline only is stripped."""
-    whole = spark.read.text(path, wholetext=True)
+    whole = (spark or SparkSession.getActiveSession()).read.text(path, wholetext=True)
     lines = F.split(F.regexp_replace(F.col("value"), "\n$", ""), "\n")
     return whole.select(F.posexplode(lines).alias("label", "name")).select(F.col("label").cast("int"), "name")
 
 
-def scan_anchors(path: str, spark: SparkSession) -> DataFrame:
+def scan_anchors(path: str, spark: SparkSession | None = None) -> DataFrame:
     """Comma-separated ``w,h, w,h, ...`` -> ``(a_idx, aw, ah)``."""
-    whole = spark.read.text(path, wholetext=True)
+    whole = (spark or SparkSession.getActiveSession()).read.text(path, wholetext=True)
     vals = F.transform(F.split(F.col("value"), ","), lambda v: F.trim(v).cast("double"))
     ex = whole.select(F.posexplode(vals).alias("pos", "v"))
     return (ex.groupBy((F.floor(F.col("pos") / 2)).cast("int").alias("a_idx"))
