@@ -113,3 +113,14 @@ def test_metrics_and_detection_sinks(spark):
                                 "img_id long, pred_id long, score double, label int, x_min double, y_min double, x_max double, y_max double")
     write_detections(det, f"{d}/det")
     assert os.path.isdir(f"{d}/det/label=0")
+
+
+def test_write_shuffled_lines(spark):
+    from boxframe.operators.feed import write_shuffled_lines
+    d = _dir()
+    lines = spark.range(50).selectExpr("id AS img_id", "concat('line ', id) AS value")
+    write_shuffled_lines(lines, f"{d}/a", seed=1)
+    write_shuffled_lines(lines, f"{d}/b", seed=1)
+    a = [r.value for r in spark.read.text(f"{d}/a").collect()]
+    b = [r.value for r in spark.read.text(f"{d}/b").collect()]
+    assert a == b and sorted(a) == sorted(r.value for r in lines.collect()) and a != sorted(a)
