@@ -339,3 +339,25 @@ def q_evaluate_grid_truth(t):
     """G3 with truth="grid" (Q8): truth boxes rebuilt from the encoded targets, so collided boxes are lost."""
     truth = grid_truth(encode_targets(_assigned(t)))
     return evaluate_matches(_kept(t), truth, 0.5, per_class=True)
+
+
+# --- E3: inference post-processing, decode -> class scores -> score mask -> NMS ---------------------
+
+_DECODE_DET_CTE = _DECODE_SQL.split("SELECT img_id, slot, gy, gx, k, CAST(u.i - 1 AS INT) AS label,")[0].replace(
+    osql.with_views("cellmap"), "").lstrip().lstrip(",") + """,
+dec_det AS (
+  SELECT img_id, CAST(u.i - 1 AS INT) AS label, CAST(slot AS INT) AS pred_id, round(conf * probs[u.i], 6) AS score,
+         round(cx - w / 2, 6) AS x_min, round(cy - h / 2, 6) AS y_min,
+         round(cx + w / 2, 6) AS x_max, round(cy + h / 2, 6) AS y_max
+  FROM geo CROSS JOIN (SELECT unnest([1, 2, 3]) AS i) u)"""
+
+
+@register("decode_nms", osql.with_views("cellmap", extra=_DECODE_DET_CTE + "," + osql.nms_sql("dec_det", score_t=0.3))
+          + "SELECT * FROM nms_out")
+def q_decode_nms(t):
+    """B10-B14 + F1 + K2: feature maps to final detections (scores and corners rounded to 6 places)."""
+    boxes = predict_boxes(decode(_featmaps(t), 3, ANCHORS, img_w=64, img_h=32))
+    det = to_detections(boxes)
+    det = det.select("img_id", "label", F.col("pred_id").cast("int").alias("pred_id"), F.round("score", 6).alias("score"),
+                     *[F.round(c, 6).alias(c) for c in COORDS])
+    return nms(det, 0.5, 0.3, 50, "tf")
