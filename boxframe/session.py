@@ -33,6 +33,7 @@ def local_session(cores: int | str = "*", app: str = "boxframe", **conf: str) ->
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -57,3 +58,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the reliable checkpoint dir (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``boxframe`` importable in Python workers (pandas UDFs, ``mapInPandas``).
+
+    Zips the package once per SparkContext and hands it to ``addPyFile``; Spark
+    distributes it to every executor.  A no-op when already shipped."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_boxframe_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="boxframe-pkg-"), "boxframe.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    sc._boxframe_shipped = True
