@@ -87,3 +87,12 @@ def test_blend_pairs(spark):
     r = blend_pairs(pairs, images).first()
     got = np.frombuffer(r.image.data, np.uint8).reshape(r.image.height, r.image.width, 3)
     assert np.array_equal(got, blend(a, b, 0.25)) and got.shape == (3, 3, 3)
+
+
+def test_ship_package_once(spark):
+    from boxframe.session import ship_package
+    ship_package(spark)  # already shipped by local_session: a no-op
+    assert getattr(spark.sparkContext, "_boxframe_shipped", False)
+    # a worker can import a module that is not on the driver's start-up path
+    got = spark.range(2).rdd.map(lambda _: __import__("boxframe.operators.augment", fromlist=["x"]).__name__).collect()
+    assert got == ["boxframe.operators.augment"] * 2
