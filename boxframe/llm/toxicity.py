@@ -6,7 +6,7 @@ The vocabulary and weights come from a bounded sample of labelled rows; all thre
 weights and the output is the expected severity.
 
 Labels with two values are spread over three grades: 0 is not toxic; toxic rows get grade 1 or 2 by
-whether their share of words seen (almost) only in toxic rows is under or over the median.
+whether the number of their features seen (almost) only in toxic rows is over the median.
 
 Defined cases: null and empty texts have no features and get the lowest margin; repeated rows get
 equal results; null ids are scored, never learned from; null or contradicting labels are skipped;
@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -31,6 +31,10 @@ from boxframe.llm.quality import MAX_TRAIN, training_rows
 PREFIXES = (4, 5, 6)
 MAX_VOCABULARY = 4_096
 GRADES = 3
+#: Words without a weight that a batch remembers; a bound on memory, not on what is read.
+MAX_IDLE = 500_000
+#: Evidence (G statistic) a feature needs; five rows that are all toxic at a tenth of toxic rows stay under it.
+MIN_GAIN = 12.0
 _ENDS = re.compile(r"^\W+|\W+$")
 
 
@@ -55,27 +59,28 @@ def features(text: str | None) -> set[str]:
 class SeverityModel:
     weights: dict[str, float]
     cuts: np.ndarray
+    flag_at: float  # expected severity from which a document counts as toxic
 
     def margins(self, texts) -> np.ndarray:
-        w = self.weights
-        prefixes = {k[:-1] for k in w if k[-1] == "*"}
-        out = np.zeros(len(texts))
+        """Sum of the weights of each text's features."""
+        w, out = self.weights, np.zeros(len(texts))
+        idle: set[str] = set()  # words met before that have no feature with a weight
         for i, text in enumerate(texts):
             if text is None or text != text:
                 continue
             total, seen = 0.0, set()
-            for word in set(text.lower().split()):
-                if not word.isalpha():
-                    word = _ENDS.sub("", word)
-                if word in seen:
-                    continue
-                seen.add(word)
-                total += w.get(word, 0.0)
-                if len(word) > 4 and word[:4] in prefixes or len(word) > 5 and (word[:5] in prefixes or len(word) > 6 and word[:6] in prefixes):
-                    for k in PREFIXES:
-                        if len(word) > k and (key := word[:k] + "*") not in seen:
-                            seen.add(key)
-                            total += w.get(key, 0.0)
+            for word in set(text.lower().split()) - idle:
+                bare = word if word.isalpha() else _ENDS.sub("", word)
+                keys = [bare, *(bare[:k] + "*" for k in PREFIXES if len(bare) > k)]
+                keys = [k for k in keys if k in w]
+                if not keys:
+                    idle.add(word)
+                for key in keys:
+                    if key not in seen:
+                        seen.add(key)
+                        total += w[key]
+            if len(idle) > MAX_IDLE:
+                idle.clear()
             out[i] = total
         return out
 
@@ -95,7 +100,7 @@ def _vocabulary(sets: list[set[str]], y: np.ndarray, size: int) -> list[str]:
     expected = c * n1 / n
     gain = a * np.log((a + 1e-9) / expected) + (c - a) * np.log((c - a + 1e-9) / np.maximum(c - expected, 1e-9))
     order = sorted(range(len(names)), key=lambda i: (-gain[i], names[i]))[:size]
-    return [names[i] for i in order if gain[i] > 4.0]
+    return [names[i] for i in order if gain[i] > MIN_GAIN]
 
 
 def fit_severity(texts: list[str], toxic: np.ndarray, max_vocabulary: int = MAX_VOCABULARY) -> SeverityModel:
@@ -106,15 +111,30 @@ def fit_severity(texts: list[str], toxic: np.ndarray, max_vocabulary: int = MAX_
     hits = [[index[f] for f in s if f in index] for s in sets]
     rows = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
     cols = np.array([c for h in hits for c in h], int)
-    # severity inside the toxic rows: share of features that are (almost) only in toxic rows
-    seen = np.bincount(cols, minlength=len(vocab)) if len(cols) else np.zeros(len(vocab))
-    bad = np.bincount(cols, toxic[rows], len(vocab)) if len(cols) else np.zeros(len(vocab))
+    # severity inside the toxic rows: how many of their features are (almost) only in toxic rows
+    seen, bad = np.bincount(cols, minlength=len(vocab)), np.bincount(cols, toxic[rows], len(vocab))
     only = bad >= 0.98 * np.maximum(seen, 1)
-    share = np.bincount(rows, only[cols], len(sets)) / np.maximum(1, [len(s) for s in sets]) if len(cols) else np.zeros(len(sets))
-    middle = np.median(share[toxic == 1]) if toxic.sum() else 0.0
-    grades = toxic * (1 + (share > middle))
+    count = np.bincount(rows, only[cols], len(sets))
+    middle = np.median(count[toxic == 1]) if toxic.sum() else 0.0
+    grades = toxic * (1 + (count > middle))
     w, cuts = ordinal.fit(rows, cols, grades.astype(int), len(vocab), GRADES)
-    return SeverityModel({f: float(w[i]) for f, i in index.items() if abs(w[i]) > 1e-3}, cuts)
+    model = SeverityModel({f: float(w[i]) for f, i in index.items() if abs(w[i]) > 1e-3}, cuts, 0.5)
+    return replace(model, flag_at=_flag_at(ordinal.expected_grade(model.margins(texts), cuts), toxic))
+
+
+def _flag_at(severity: np.ndarray, toxic: np.ndarray) -> float:
+    """Expected severity that tells the two classes of the sample apart best (balanced accuracy),
+    in the middle of the gap it falls in; 0.5 without both classes."""
+    if not 0 < toxic.sum() < len(toxic):
+        return 0.5
+    order = np.argsort(severity, kind="stable")
+    s, t = severity[order], toxic[order]
+    clean = np.concatenate([[0], (1 - t).cumsum()]) / (1 - t).sum()
+    missed = np.concatenate([[0], t.cumsum()]) / t.sum()
+    gain = clean - missed
+    gain[1:-1][s[1:] == s[:-1]] = -np.inf  # equal severities stay together
+    k = int(gain.argmax())
+    return float((s[max(0, k - 1)] + s[min(len(s) - 1, k)]) / 2)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> SeverityModel:
@@ -133,16 +153,17 @@ def _fit_in_task(train: DataFrame) -> SeverityModel:
         parts = list(batches)
         rows = pd.concat(parts) if parts else pd.DataFrame({"text": [], "y": []})
         model = fit_severity(list(rows["text"]), rows["y"].to_numpy(int))
-        names = [*model.weights, *(f"\n{k}" for k in range(len(model.cuts)))]
-        yield pd.DataFrame({"name": names, "value": [*model.weights.values(), *model.cuts]})
+        names = [*model.weights, *(f"\n{k}" for k in range(len(model.cuts))), "\nflag"]
+        yield pd.DataFrame({"name": names, "value": [*model.weights.values(), *model.cuts, model.flag_at]})
 
     got = train.select("text", "y").coalesce(1).mapInPandas(run, "name string, value double").collect()
     cuts = {r.name: r.value for r in got if r.name[:1] == "\n"}
+    flag = cuts.pop("\nflag", 0.5)
     if not cuts:
         w, c = ordinal.fit(np.zeros(0, int), np.zeros(0, int), np.zeros(0, int), 0, GRADES)
-        return SeverityModel({}, c)
+        return SeverityModel({}, c, flag)
     return SeverityModel({r.name: r.value for r in got if r.name[:1] != "\n"},
-                         np.array([cuts[f"\n{k}"] for k in range(len(cuts))]))
+                         np.array([cuts[f"\n{k}"] for k in range(len(cuts))]), flag)
 
 
 def severity_column(model: SeverityModel, text: Column) -> Column:
@@ -158,8 +179,8 @@ def severity_column(model: SeverityModel, text: Column) -> Column:
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """(doc_id, expected_severity, severity, toxic) of every document; ``severity`` is the nearest
-    grade and ``toxic`` says that some grade above 0 is likelier than not."""
+    grade and ``toxic`` says whether the severity reaches the value that parts the sample best."""
     model = fit_toxicity(docs, labels, max_train)
     e = F.col("expected_severity")
     return (docs.select("doc_id", severity_column(model, F.col("text")).alias("expected_severity"))
-            .withColumn("severity", F.round(e).cast("int")).withColumn("toxic", e >= 0.5))
+            .withColumn("severity", F.round(e).cast("int")).withColumn("toxic", e >= F.lit(model.flag_at)))
