@@ -198,27 +198,44 @@ def _cross_pairs(members: DataFrame, payload: DataFrame, threshold: float) -> Da
         right.select("h", F.col("other").alias("p"), F.col("blk").alias("q"), "node", "comp", "minor"))
     laid = laid.join(payload.select("node", "sig"), "node")
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        a, b = part[part["minor"]], part[~part["minor"]]
-        if not len(a) or not len(b):
-            return pd.DataFrame({"a": [], "b": []})
-        sa = np.stack([np.frombuffer(x, np.uint32) for x in a["sig"]])
-        sb = np.stack([np.frombuffer(x, np.uint32) for x in b["sig"]])
-        names = {c: i for i, c in enumerate({*map(bytes, part["comp"])})}
-        ca = np.array([names[bytes(c)] for c in a["comp"]])
-        cb = np.array([names[bytes(c)] for c in b["comp"]])
-        ia, ib = np.nonzero(ca[:, None] != cb[None, :])
+    def compare(part: pd.DataFrame, out: list) -> None:
+        """Survivors of one task (h, p, q): its minor nodes against the other side."""
+        side = part["minor"].to_numpy(bool)
+        if side.all() or not side.any():
+            return
+        sig = np.frombuffer(b"".join(part["sig"]), np.uint32).reshape(len(part), SIGNATURE)
+        comp = part["comp"].to_numpy()
+        node = part["node"].to_numpy()
+        at_a, at_b = np.flatnonzero(side), np.flatnonzero(~side)
+        ia, ib = np.nonzero(comp[at_a][:, None] != comp[at_b][None, :])
+        ia, ib = at_a[ia], at_b[ib]
         matches = np.zeros(len(ia), np.int64)
         for i, need in enumerate(least):
             cut = slice(i * BATCH, (i + 1) * BATCH)
-            matches += (sa[ia, cut] == sb[ib, cut]).sum(1)
+            matches += (sig[ia, cut] == sig[ib, cut]).sum(1)
             go = matches >= need
             ia, ib, matches = ia[go], ib[go], matches[go]
-        na, nb = a["node"].to_numpy(), b["node"].to_numpy()
-        return pd.DataFrame({"a": [max(bytes(x), bytes(y)) for x, y in zip(na[ia], nb[ib])],
-                             "b": [min(bytes(x), bytes(y)) for x, y in zip(na[ia], nb[ib])]})
+        out.extend((max(x, y), min(x, y)) for x, y in zip(node[ia], node[ib]))
 
-    return laid.groupBy("h", "p", "q").applyInPandas(run, "a binary, b binary").distinct()
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # rows arrive sorted by (h, p, q); a task's rows are held until the next one begins
+        held = None
+        for rows in batches:
+            rows = rows if held is None else pd.concat([held, rows], ignore_index=True)
+            key = rows[["h", "p", "q"]].to_numpy()
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1)]
+            out: list = []
+            for lo, hi in zip(cuts, cuts[1:]):
+                compare(rows.iloc[lo:hi], out)
+            held = rows.iloc[cuts[-1]:]
+            yield pd.DataFrame(out, columns=["a", "b"])
+        if held is not None and len(held):
+            out = []
+            compare(held, out)
+            yield pd.DataFrame(out, columns=["a", "b"])
+
+    return (laid.repartition("h", "p", "q").sortWithinPartitions("h", "p", "q")
+            .mapInPandas(run, "a binary, b binary").distinct())
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8) -> DataFrame:
