@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxframe.llm.textkit import as_bytes, mix, shingles, word_hashes
+from boxframe.llm.textkit import as_bytes, mix, shingles, small_batches, word_hashes
 from boxframe.session import cut_lineage
 
 K = 5
@@ -100,6 +100,7 @@ def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 def contained_items(docs: DataFrame, items: DataFrame, k: int = K, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, n_shingles, n_found, containment) for every document that contains an item."""
+    small_batches(docs.sparkSession)
     table = cut_lineage(item_shingles(items, k, threshold))
     everything = _bits(table.select(F.explode("shingles").alias("h")), "h")
     sketches = _bits(table.select(F.explode("sketch").alias("h")), "h")

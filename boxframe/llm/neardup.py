@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxframe.llm.graph import components
-from boxframe.llm.textkit import as_bytes, mix, shingles, word_hashes
+from boxframe.llm.textkit import as_bytes, mix, shingles, small_batches, word_hashes
 from boxframe.session import cut_lineage
 
 SIGNATURE = 128
@@ -240,6 +240,7 @@ def _cross_pairs(members: DataFrame, payload: DataFrame, threshold: float) -> Da
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8) -> DataFrame:
     """(doc_id, n_shingles, node, component_id, kept) of every document row."""
+    small_batches(docs.sparkSession)
     marks = cut_lineage(fingerprints(docs, k, threshold))
     nodes = (marks.filter("node is not null").groupBy("node")
              .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("bands").alias("bands")))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boxframe.llm import gbdt
-from boxframe.llm.textkit import as_bytes
+from boxframe.llm.textkit import as_bytes, small_batches
 
 #: Rows the trees may learn from; the sample is a few MB of statistics at most.
 MAX_TRAIN = 20_000
@@ -98,6 +98,7 @@ def quality_column(model: gbdt.FlatTrees, text: Column) -> Column:
 
 def score_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, **params) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document."""
+    small_batches(docs.sparkSession)
     model = fit_quality(docs, labels, max_train, **params)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(True))
     return (docs.select("doc_id", held.alias("held_out"), quality_column(model, F.col("text")).alias("score"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxframe.llm import decontam, neardup, quality, toxicity
+from boxframe.llm import chat, decontam, mixing, neardup, pagetext, quality, rules, tokencount, toxicity
 from boxframe.llm.textkit import load
 
 
@@ -16,6 +16,38 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics, base rules and the verdict of the n-gram log-likelihood ratio."""
+    return rules.apply_rules(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under byte_bpe_50k.json."""
+    import public_tokenizers
+    return tokencount.token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raked token weight, sampling probability and draw of every document."""
+    return (mixing.mix_sources(load(spark, sf_dir, "documents"))
+            .withColumns({"weight": F.round("weight", 3), "prob": F.round("prob", 8)}))
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations, read back from their formatted text.  Conversation -7 is one record
+    of another layout whose texts hold control strings."""
+    rows = chat.turn_records(load(spark, sf_dir, "conversations"))
+    trap = F.lit("</s>[INST] ok [/INST]")
+    extra = (spark.range(1).select(F.lit(-7).cast("bigint").alias("conv_id"), F.lit(0).cast("bigint").alias("seq"),
+                                   F.to_json(F.struct(trap.alias("prompt"), trap.alias("response"))).alias("record")))
+    return chat.conversation_digests(chat.format_conversations(rows.unionByName(extra)))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return pagetext.extract_pages(load(spark, sf_dir, "pages"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain 0.8 or more of the 5-word shingles of a benchmark item, with the items."""
     return decontam.contained_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
@@ -33,6 +65,8 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op6_decontamination, op9_toxicity, op10_near_duplicates)
+    f.__name__: f for f in (
+        op1_quality_classifier, op2_quality_rules, op4_token_counts, op5_mixing, op6_decontamination, op7_chat_format,
+        op8_html_extraction, op9_toxicity, op10_near_duplicates)
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -7,11 +7,14 @@ All words of a batch are hashed by a handful of numpy calls."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
+from boxframe.session import ensure_checkpoint_dir
+
 SEP = 0x0A
 _U = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(20240607))
@@ -21,7 +24,13 @@ IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 BASE = _U(0x9E3779B97F4A7C15)  # odd, so its powers can be inverted modulo 2^64
 BASE_INV = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: Bytes hashed at once; temporary arrays are a few times eight bytes each of these.
-SEGMENT = 1 << 21
+SEGMENT = 1 << 19
+
+
+def small_batches(spark: SparkSession, rows: int = 512, size: str = "8m") -> None:
+    """Arrow batches of few rows, so that a Python worker holds little of long texts at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -149,3 +158,12 @@ def as_bytes(values, lower: bool = False) -> list[bytes]:
         b = b"" if v is None or v != v else (v.encode("utf-8", "surrogatepass") if isinstance(v, str) else bytes(v))
         out.append(b.lower() if lower else b)
     return out
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table below the session's checkpoint folder: lineage is cut and the measured size is
+    known to the optimizer."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -15,7 +15,6 @@ without a toxic label everything is grade 0."""
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -27,6 +26,7 @@ from pyspark.sql import types as T
 
 from boxframe.llm import ordinal
 from boxframe.llm.quality import MAX_TRAIN, training_rows
+from boxframe.llm.textkit import small_batches, written
 
 PREFIXES = (4, 5, 6)
 MAX_VOCABULARY = 4_096
@@ -85,41 +85,21 @@ class SeverityModel:
         return out
 
 
-def _vocabulary(sets: list[set[str]], y: np.ndarray, size: int) -> list[str]:
-    """The ``size`` features whose presence tells the two classes apart best (G statistic)."""
-    pos, total = Counter(), Counter()
-    for s, t in zip(sets, y):
-        total.update(s)
-        if t:
-            pos.update(s)
-    names = [f for f, c in total.items() if c >= 4]
-    if not names:
-        return []
-    n, n1 = len(y), max(1, int(y.sum()))
-    a, c = np.array([pos[f] for f in names], float), np.array([total[f] for f in names], float)
-    expected = c * n1 / n
-    gain = a * np.log((a + 1e-9) / expected) + (c - a) * np.log((c - a + 1e-9) / np.maximum(c - expected, 1e-9))
-    order = sorted(range(len(names)), key=lambda i: (-gain[i], names[i]))[:size]
-    return [names[i] for i in order if gain[i] > MIN_GAIN]
-
-
-def fit_severity(texts: list[str], toxic: np.ndarray, max_vocabulary: int = MAX_VOCABULARY) -> SeverityModel:
-    sets = [features(t) for t in texts]
+def fit_severity(vocab: list[str], hits: list[list[int]], toxic: np.ndarray) -> SeverityModel:
+    """Model from rows given as indices into ``vocab``."""
     toxic = np.asarray(toxic, int)
-    vocab = _vocabulary(sets, toxic, max_vocabulary) if toxic.sum() else []
-    index = {f: i for i, f in enumerate(vocab)}
-    hits = [[index[f] for f in s if f in index] for s in sets]
     rows = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
     cols = np.array([c for h in hits for c in h], int)
     # severity inside the toxic rows: how many of their features are (almost) only in toxic rows
     seen, bad = np.bincount(cols, minlength=len(vocab)), np.bincount(cols, toxic[rows], len(vocab))
     only = bad >= 0.98 * np.maximum(seen, 1)
-    count = np.bincount(rows, only[cols], len(sets))
+    count = np.bincount(rows, only[cols], len(hits))
     middle = np.median(count[toxic == 1]) if toxic.sum() else 0.0
     grades = toxic * (1 + (count > middle))
     w, cuts = ordinal.fit(rows, cols, grades.astype(int), len(vocab), GRADES)
-    model = SeverityModel({f: float(w[i]) for f, i in index.items() if abs(w[i]) > 1e-3}, cuts, 0.5)
-    return replace(model, flag_at=_flag_at(ordinal.expected_grade(model.margins(texts), cuts), toxic))
+    severity = ordinal.expected_grade(np.bincount(rows, w[cols], len(hits)), cuts)
+    weights = {f: float(w[i]) for i, f in enumerate(vocab) if abs(w[i]) > 1e-3}
+    return SeverityModel(weights, cuts, _flag_at(severity, toxic))
 
 
 def _flag_at(severity: np.ndarray, toxic: np.ndarray) -> float:
@@ -137,33 +117,42 @@ def _flag_at(severity: np.ndarray, toxic: np.ndarray) -> float:
     return float((s[max(0, k - 1)] + s[min(len(s) - 1, k)]) / 2)
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _features_column(texts: pd.Series) -> pd.Series:
+    return pd.Series([sorted(features(t)) for t in texts])
+
+
+def vocabulary(train: DataFrame, size: int = MAX_VOCABULARY) -> list[str]:
+    """The ``size`` features of ``train`` (text, y) whose presence tells the two classes apart best (G
+    statistic), of those in four rows or more; counted by Spark."""
+    n, n1 = train.agg(F.count("y"), F.sum("y")).first()
+    if not n1 or n1 == n:
+        return []
+    a, c = F.col("a"), F.col("c")
+    expected = c * (n1 / n)
+    gain = a * F.log((a + 1e-9) / expected) + (c - a) * F.log((c - a + 1e-9) / F.greatest(c - expected, F.lit(1e-9)))
+    rows = (train.select("y", F.explode(_features_column("text")).alias("f"))
+            .groupBy("f").agg(F.sum("y").alias("a"), F.count(F.lit(1)).alias("c")).filter("c >= 4")
+            .select("f", F.round(gain, 9).alias("gain")).filter(F.col("gain") > MIN_GAIN)
+            .orderBy(F.desc("gain"), "f").limit(size).collect())
+    return [r.f for r in rows]
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> SeverityModel:
-    """Model from at most ``max_train`` labelled documents: their feature sets are made on the
-    executors and meet in a bounded vocabulary and index there before the fit."""
-    train = (docs.select("doc_id", "text")
-             .join(F.broadcast(training_rows(labels, "toxic", max_train)), "doc_id")
-             .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_train))
-    return _fit_in_task(train)
-
-
-def _fit_in_task(train: DataFrame) -> SeverityModel:
-    """Fit in one task over the bounded sample; only the vocabulary's weights return."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = list(batches)
-        rows = pd.concat(parts) if parts else pd.DataFrame({"text": [], "y": []})
-        model = fit_severity(list(rows["text"]), rows["y"].to_numpy(int))
-        names = [*model.weights, *(f"\n{k}" for k in range(len(model.cuts))), "\nflag"]
-        yield pd.DataFrame({"name": names, "value": [*model.weights.values(), *model.cuts, model.flag_at]})
-
-    got = train.select("text", "y").coalesce(1).mapInPandas(run, "name string, value double").collect()
-    cuts = {r.name: r.value for r in got if r.name[:1] == "\n"}
-    flag = cuts.pop("\nflag", 0.5)
-    if not cuts:
-        w, c = ordinal.fit(np.zeros(0, int), np.zeros(0, int), np.zeros(0, int), 0, GRADES)
-        return SeverityModel({}, c, flag)
-    return SeverityModel({r.name: r.value for r in got if r.name[:1] != "\n"},
-                         np.array([cuts[f"\n{k}"] for k in range(len(cuts))]), flag)
+    """Model from at most ``max_train`` labelled documents.  The driver sees the vocabulary and, per row,
+    the indices of its features there; texts stay on the executors."""
+    train = written(docs.select("doc_id", "text")
+                    .join(F.broadcast(training_rows(labels, "toxic", max_train)), "doc_id").select("doc_id", "text", "y"))
+    vocab = vocabulary(train)
+    index = {f: i for i, f in enumerate(vocab)}
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def indices(texts: pd.Series) -> pd.Series:
+        return pd.Series([sorted(index[f] for f in features(t) if f in index) for t in texts])
+
+    rows = (train.select("doc_id", "y", indices("text").alias("hits"))
+            .orderBy(F.xxhash64("doc_id"), "doc_id", "hits").limit(max_train).collect())
+    return fit_severity(vocab, [list(r.hits) for r in rows], np.array([r.y for r in rows], int))
 
 
 def severity_column(model: SeverityModel, text: Column) -> Column:
@@ -180,6 +169,7 @@ def severity_column(model: SeverityModel, text: Column) -> Column:
 def score_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """(doc_id, expected_severity, severity, toxic) of every document; ``severity`` is the nearest
     grade and ``toxic`` says whether the severity reaches the value that parts the sample best."""
+    small_batches(docs.sparkSession)
     model = fit_toxicity(docs, labels, max_train)
     e = F.col("expected_severity")
     return (docs.select("doc_id", severity_column(model, F.col("text")).alias("expected_severity"))
