@@ -239,7 +239,8 @@ def _cross_pairs(members: DataFrame, payload: DataFrame, threshold: float) -> Da
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8) -> DataFrame:
-    """(doc_id, n_shingles, node, component_id, kept) of every document row."""
+    """(doc_id, n_shingles, node, comp, component_id, kept) of every document row; ``comp`` names the class
+    by one of its nodes (null without words)."""
     small_batches(docs.sparkSession)
     marks = cut_lineage(fingerprints(docs, k, threshold))
     nodes = (marks.filter("node is not null").groupBy("node")
@@ -270,7 +271,42 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8) -> Data
              .select("node", "rep", "copies", F.coalesce("merged", "comp").alias("comp")))
     low = final.groupBy("comp").agg(F.min("rep").alias("component_id"), F.sum("copies").alias("size"))
     # only classes of several documents need a look-up
-    named = final.join(low.filter("size > 1"), "comp").select("node", "component_id")
+    named = final.join(low.filter("size > 1"), "comp").select("node", "comp", "component_id")
     return (marks.select("doc_id", "n_shingles", "node").join(named, "node", "left")
-            .select("doc_id", "n_shingles", "node", F.coalesce("component_id", "doc_id").alias("component_id"))
+            .select("doc_id", "n_shingles", "node", F.coalesce("comp", "node").alias("comp"),
+                    F.coalesce("component_id", "doc_id").alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def keep_one(docs: DataFrame, k: int = 5, threshold: float = 0.8) -> DataFrame:
+    """The documents (all their columns) without near-duplicates: of each class the one with the smallest
+    id stays.  Rows that share their id with another row are told apart by their texts; of those that
+    are alike in both, one stays.  Documents without words link with nothing and stay."""
+    marks = cut_lineage(near_duplicates(docs, k, threshold))
+    gone = marks.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
+    repeated = marks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("doc_id").alias("__twice"))
+    once = docs.join(repeated, F.col("doc_id").eqNullSafe(F.col("__twice")), "left_anti")
+    once = once.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    # ids with several rows: a row stays if its set's class bears its id, once per class
+    twice = docs.join(repeated, F.col("doc_id").eqNullSafe(F.col("__twice")), "left_semi")
+    if not twice.isEmpty():
+        own = docs.columns
+        keyed = with_node(twice, k).withColumnRenamed("doc_id", "__id")
+        kept = (marks.filter("kept").select("doc_id", "node", "comp").distinct()
+                .select(F.col("doc_id").alias("__kid"), F.col("node").alias("__knode"), F.col("comp").alias("__comp")))
+        rows = (keyed.join(kept, F.col("__id").eqNullSafe(F.col("__kid")) & F.col("__node").eqNullSafe(F.col("__knode")))
+                .withColumnRenamed("__id", "doc_id"))
+        words = rows.filter("__node is not null").dropDuplicates(["__comp"])
+        once = once.unionByName(words.select(*own)).unionByName(rows.filter("__node is null").select(*own))
+    return once
+
+
+def with_node(docs: DataFrame, k: int) -> DataFrame:
+    """``docs`` with column __node, the fingerprint of the shingle set (null without words)."""
+
+    @F.pandas_udf("binary")
+    def node(texts: pd.Series) -> pd.Series:
+        sets = (shingle_set(w, k) for w in word_hashes(as_bytes(texts, lower=True)))
+        return pd.Series([set_key(s) if len(s) else None for s in sets], dtype=object)
+
+    return docs.withColumn("__node", node(F.col("text").cast("binary")))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxframe.llm import chat, decontam, mixing, neardup, pagetext, quality, rules, tokencount, toxicity
+from boxframe.llm import chat, decontam, mixing, neardup, pagetext, quality, rules, tokencount, tokenids, toxicity
 from boxframe.llm.textkit import load
 
 
@@ -21,6 +21,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_rules(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document in the written id stream, read back from it."""
+    import public_tokenizers
+    return tokenids.document_ids(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under byte_bpe_50k.json."""
     import public_tokenizers
@@ -66,7 +72,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality_classifier, op2_quality_rules, op4_token_counts, op5_mixing, op6_decontamination, op7_chat_format,
-        op8_html_extraction, op9_toxicity, op10_near_duplicates)
+        op1_quality_classifier, op2_quality_rules, op3_token_ids, op4_token_counts, op5_mixing, op6_decontamination,
+        op7_chat_format, op8_html_extraction, op9_toxicity, op10_near_duplicates)
 }
 ORACLE_SQL: dict[str, str] = {}
