@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxframe.llm import chat, decontam, mixing, neardup, pagetext, quality, rules, tokencount, tokenids, toxicity
+from boxframe.llm import chat, decontam, mixing, mixing_sql, neardup, pagetext, quality, rules, tokencount, tokenids, toxicity
 from boxframe.llm.textkit import load
 
 
@@ -75,4 +75,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_quality_classifier, op2_quality_rules, op3_token_ids, op4_token_counts, op5_mixing, op6_decontamination,
         op7_chat_format, op8_html_extraction, op9_toxicity, op10_near_duplicates)
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_mixing": mixing_sql.oracle(mixing.TOPICS, mixing.SWEEPS, mixing.TEMPER, mixing.SEED),
+}

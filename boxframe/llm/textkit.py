@@ -92,7 +92,7 @@ def _long_words(raw: bytes) -> np.ndarray:
                     piece = np.frombuffer(raw, np.uint8, nxt - stop, stop)
                     gap = np.flatnonzero(IS_SPACE[piece])
                     piece = piece[: gap[0]] if len(gap) else piece
-                    h = mix(h * BASE + _segment_words(piece)[1])[0] if len(piece) else h
+                    h = mix(np.array([h]) * BASE + _segment_words(piece)[1])[0] if len(piece) else h
                     stop += len(piece)
                 out.append(np.array([h], np.uint64))
                 at = stop
