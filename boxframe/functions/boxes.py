@@ -40,11 +40,6 @@ def prefixed(prefix: str = "") -> tuple[Column, ...]:
     return tuple(F.col(f"{prefix}{f}") for f in COORDS)
 
 
-def box_struct(b: BoxLike) -> Column:
-    x0, y0, x1, y1 = xyxy(b)
-    return F.struct(x0.alias("x_min"), y0.alias("y_min"), x1.alias("x_max"), y1.alias("y_max"))
-
-
 # --- B1 / B2 / B3 -----------------------------------------------------------
 
 def to_center(b: BoxLike) -> Column:

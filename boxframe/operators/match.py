@@ -1,7 +1,7 @@
 """Prediction <-> truth matching and per-class counting.
 
 Detection table: ``img_id, pred_id, label, score, x_min..y_max`` with
-``(img_id, pred_id)`` unique.  Truth table: ``img_id, box_id, label, x_min..y_max``
+``(img_id, label, pred_id)`` unique: one box kept under two classes is two detections.  Truth table: ``img_id, box_id, label, x_min..y_max``
 with ``(img_id, box_id)`` unique.  Only overlapping pairs are ever formed
 (:func:`overlap_join`), so a crowded image costs its real overlaps, not |P|x|T|.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from boxframe.functions.boxes import COORDS, iou
 from boxframe.operators.spatial import PAD_FOR_VARIANT, overlap_join
 
-DET_KEY = ("img_id", "pred_id")
+DET_KEY = ("img_id", "label", "pred_id")
 
 
 def best_truth(det: DataFrame, truth: DataFrame, *, by_label: bool, variant: str = "eps",
@@ -34,14 +34,14 @@ def best_truth(det: DataFrame, truth: DataFrame, *, by_label: bool, variant: str
     aggregation sees only real matches.
     """
     keys = ["img_id", "label"] if by_label else ["img_id"]
-    a = det.select(*keys, "pred_id", *[F.col(c).alias(f"a_{c}") for c in COORDS])
+    a = det.select(*DET_KEY, *[F.col(c).alias(f"a_{c}") for c in COORDS])
     extra = [] if by_label else [F.col("label").alias("b_label")]
     b = truth.select(*keys, F.col("box_id").alias("b_box_id"), *extra, *[F.col(c).alias(f"b_{c}") for c in COORDS])
     pairs = overlap_join(a, b, keys, pad=PAD_FOR_VARIANT[variant], cell=cell, normalise=(variant == "tf"))
     abox = F.struct(*[F.col(f"a_{c}").alias(c) for c in COORDS])
     bbox = F.struct(*[F.col(f"b_{c}").alias(c) for c in COORDS])
     blabel = F.col("b_label") if not by_label else F.col("label")
-    scored = pairs.select("img_id", "pred_id", iou(abox, bbox, variant).alias("__ov"), "b_box_id",
+    scored = pairs.select(*DET_KEY, iou(abox, bbox, variant).alias("__ov"), "b_box_id",
                           blabel.alias("b_label"))
     if min_iou is not None:
         scored = scored.filter(F.col("__ov") > F.lit(float(min_iou)))
@@ -63,9 +63,9 @@ def match_winners(matched: DataFrame, iou_threshold: float, *, same_label: bool
     claim = matched.filter(F.col("best_iou") > F.lit(float(iou_threshold)))
     if not same_label:
         claim = claim.filter(F.col("best_label") == F.col("label"))
-    win = (claim.groupBy("img_id", "best_box_id")
+    win = (claim.groupBy("img_id", "label", "best_box_id")
                 .agg(F.min(F.struct(F.negative(F.col("score")).alias("__s"), F.col("pred_id"))).alias("__w"))
-                .select("img_id", F.col("__w.pred_id").alias("pred_id"), F.lit(1).alias("tp")))
+                .select("img_id", "label", F.col("__w.pred_id").alias("pred_id"), F.lit(1).alias("tp")))
     return (matched.join(win, list(DET_KEY), "left")
                    .withColumn("tp", F.coalesce(F.col("tp"), F.lit(0))))
 

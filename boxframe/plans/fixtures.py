@@ -35,18 +35,13 @@ FROM (SELECT i.img_id, i.width, i.height, l.box_id, pk, sk,
     "pred": ("""
 SELECT img_id, box_id * 10 + k AS pred_id,
        CAST((label + CASE WHEN (img_id + box_id * 3 + k) % 9 = 0 THEN 1 ELSE 0 END) % 3 AS INT) AS label,
-       x_min + (img_id * 3 + k * 5 + box_id) % 23 - 11 AS x_min,
+       x_min + (img_id * 3 + k * 5 + box_id) % 23 - 11 + CASE WHEN (img_id + box_id) % 7 = 0 THEN 2000 ELSE 0 END AS x_min,
        y_min + (img_id * 7 + k * 3 + box_id) % 19 - 9 AS y_min,
-       x_max + (img_id * 5 + k * 7) % 17 - 8 AS x_max,
+       x_max + (img_id * 5 + k * 7) % 17 - 8 + CASE WHEN (img_id + box_id) % 7 = 0 THEN 2000 ELSE 0 END AS x_max,
        y_max + (img_id + k * 11) % 21 - 10 AS y_max,
        CAST(3000 + (img_id * 17 + box_id * 1013 + k * 2503) % 7000 AS DOUBLE) / 10000 AS score
 FROM gt CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2) c
-WHERE (img_id + box_id) % 7 <> 0""", ("gt",)),
-    "ann_line": ("""
-SELECT img_id, concat_ws(' ', CAST(img_id AS STRING), concat('img/', CAST(img_id AS STRING), '.png'),
-       CAST(label AS STRING), CAST(CAST(x_min AS INT) AS STRING), CAST(CAST(y_min AS INT) AS STRING),
-       CAST(CAST(x_max AS INT) AS STRING), CAST(CAST(y_max AS INT) AS STRING)) AS value
-FROM gt WHERE box_id = 1""", ("gt",)),
+""", ("gt",)),
     "meter_in": ("""
 SELECT event_id AS step, CAST(ts AS TIMESTAMP) AS ts, event_type AS tag, value AS val,
        CAST(1 + user_id % 20 AS INT) AS n
@@ -59,24 +54,24 @@ SPARK_ONLY_SQL: dict[str, tuple[str, tuple[str, ...]]] = {
     "pred": ("""
 SELECT img_id, box_id * 10 + k AS pred_id,
        CAST((label + CASE WHEN (img_id + box_id * 3 + k) % 9 = 0 THEN 1 ELSE 0 END) % 3 AS INT) AS label,
-       x_min + (img_id * 3 + k * 5 + box_id) % 23 - 11 AS x_min,
+       x_min + (img_id * 3 + k * 5 + box_id) % 23 - 11 + CASE WHEN (img_id + box_id) % 7 = 0 THEN 2000 ELSE 0 END AS x_min,
        y_min + (img_id * 7 + k * 3 + box_id) % 19 - 9 AS y_min,
-       x_max + (img_id * 5 + k * 7) % 17 - 8 AS x_max,
+       x_max + (img_id * 5 + k * 7) % 17 - 8 + CASE WHEN (img_id + box_id) % 7 = 0 THEN 2000 ELSE 0 END AS x_max,
        y_max + (img_id + k * 11) % 21 - 10 AS y_max,
        CAST(3000 + (img_id * 17 + box_id * 1013 + k * 2503) % 7000 AS DOUBLE) / 10000 AS score
 FROM gt LATERAL VIEW explode(array(0, 1, 2)) c AS k
-WHERE (img_id + box_id) % 7 <> 0""", ("gt",)),
+""", ("gt",)),
     "cellmap": ("""
 SELECT vec_id AS img_id, CAST(pos AS INT) AS pos, CAST(v AS DOUBLE) * 8 AS logit
-FROM embeddings LATERAL VIEW posexplode(slice(embedding, 1, 48)) t AS pos, v""", ("embeddings",)),
+FROM embeddings LATERAL VIEW posexplode(concat(embedding, embedding, embedding)) t AS pos, v""", ("embeddings",)),
     "features": ("""
 SELECT vec_id, transform(embedding, x -> CAST(x AS DOUBLE)) AS f, CAST(label % 3 AS INT) AS label
 FROM embeddings""", ("embeddings",)),
 }
 DUCKDB_ONLY_SQL: dict[str, tuple[str, tuple[str, ...]]] = {
     "cellmap": ("""
-SELECT vec_id AS img_id, CAST(pos AS INT) AS pos, CAST(embedding[pos + 1] AS DOUBLE) * 8 AS logit
-FROM embeddings CROSS JOIN (SELECT unnest(range(48)) AS pos) p""", ("embeddings",)),
+SELECT vec_id AS img_id, CAST(pos AS INT) AS pos, CAST(embedding[pos % 64 + 1] AS DOUBLE) * 8 AS logit
+FROM embeddings CROSS JOIN (SELECT unnest(range(192)) AS pos) p""", ("embeddings",)),
     "features": ("""
 SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS f, CAST(label % 3 AS INT) AS label
 FROM embeddings""", ("embeddings",)),

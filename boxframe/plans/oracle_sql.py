@@ -97,7 +97,7 @@ voc_pairs AS (
   FROM {det} d LEFT JOIN {truth} t ON t.img_id = d.img_id AND t.label = d.label),
 voc_best AS (
   SELECT * FROM voc_pairs
-  QUALIFY row_number() OVER (PARTITION BY img_id, pred_id ORDER BY ov DESC NULLS LAST, box_id) = 1),
+  QUALIFY row_number() OVER (PARTITION BY img_id, label, pred_id ORDER BY ov DESC NULLS LAST, box_id) = 1),
 voc_tp AS (
   SELECT img_id, pred_id, label, score,
          CASE WHEN ov > {iou_t} AND row_number() OVER (

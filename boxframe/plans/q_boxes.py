@@ -162,7 +162,7 @@ def q_crop_boxes(t):
              .select("img_id", "box_id", "label", *[c[x].alias(x) for x in COORDS]))
 
 
-# --- B10-B14: decode a feature map (embedding = one 1x2 grid, 3 anchors, 5+3 channels) ------
+# --- B10-B14: decode a feature map (embedding, three times over = one 1x8 grid, 3 anchors, 5+3 channels) ------
 
 _DECODE_SQL = osql.with_views("cellmap") + """
 , slots AS (
@@ -173,10 +173,10 @@ _DECODE_SQL = osql.with_views("cellmap") + """
          max(CASE WHEN pos % 8 = 6 THEN logit END) AS t1, max(CASE WHEN pos % 8 = 7 THEN logit END) AS t2
   FROM cellmap GROUP BY img_id, pos // 8),
 geo AS (
-  SELECT img_id, CAST(slot AS INT) AS slot, CAST((slot // 3) // 2 AS INT) AS gy, CAST((slot // 3) % 2 AS INT) AS gx,
+  SELECT img_id, CAST(slot AS INT) AS slot, CAST((slot // 3) // 8 AS INT) AS gy, CAST((slot // 3) % 8 AS INT) AS gx,
          CAST(slot % 3 AS INT) AS k,
-         (1.0 / (1.0 + exp(-tx)) + (slot // 3) % 2) * 64 / 2 AS cx,
-         (1.0 / (1.0 + exp(-ty)) + (slot // 3) // 2) * 32 / 1 AS cy,
+         (1.0 / (1.0 + exp(-tx)) + (slot // 3) % 8) * 256 / 8 AS cx,
+         (1.0 / (1.0 + exp(-ty)) + (slot // 3) // 8) * 32 / 1 AS cy,
          exp(tw) * CASE slot % 3 WHEN 0 THEN 261.0 WHEN 1 THEN 350.0 ELSE 448.0 END AS w,
          exp(th) * CASE slot % 3 WHEN 0 THEN 239.0 WHEN 1 THEN 263.0 ELSE 385.0 END AS h,
          1.0 / (1.0 + exp(-tc)) AS conf,
@@ -191,16 +191,16 @@ FROM geo CROSS JOIN (SELECT unnest([1, 2, 3]) AS i) u"""
 
 
 def _featmaps(t):
-    """One 1x2 output map (scale 0) per embedding, logits scaled by 8, input 64x32."""
+    """One 1x8 output map (scale 0) per embedding, whose values come three times; logits scaled by 8, input 256x32."""
     return t.embeddings.select(
-        F.col("vec_id").alias("img_id"), F.lit(0).alias("scale"), F.lit(1).alias("grid_h"), F.lit(2).alias("grid_w"),
-        F.transform(F.slice("embedding", 1, 48), lambda v: v.cast("double") * 8).alias("values"))
+        F.col("vec_id").alias("img_id"), F.lit(0).alias("scale"), F.lit(1).alias("grid_h"), F.lit(8).alias("grid_w"),
+        F.transform(F.concat("embedding", "embedding", "embedding"), lambda v: v.cast("double") * 8).alias("values"))
 
 
 @register("decode", _DECODE_SQL)
 def q_decode(t):
     """Slots -> centre/size -> corners, class scores conf*prob, argmax label."""
-    slots = with_argmax(predict_boxes(decode(_featmaps(t), 3, ANCHORS, img_w=64, img_h=32)))
+    slots = with_argmax(predict_boxes(decode(_featmaps(t), 3, ANCHORS, img_w=256, img_h=32)))
     det = (slots.select("img_id", "slot", "gy", "gx", "k", "best_label", *COORDS,
                         F.posexplode(F.transform("probs", lambda p: p * F.col("conf"))).alias("label", "score")))
     return det.select("img_id", "slot", "gy", "gx", "k", F.col("label").cast("int").alias("label"),
@@ -227,14 +227,14 @@ def q_scan_annotations(t):
     return explode_boxes(ann, keep=("img_id", "path"))
 
 
-@register("truth_table", osql.with_views("ann_line") + f"""
-SELECT g.img_id, CAST(1 AS INT) AS box_id, g.label,
+@register("truth_table", osql.with_views("gt") + f"""
+SELECT g.img_id, CAST(row_number() OVER (PARTITION BY g.img_id ORDER BY g.box_id) AS INT) AS box_id, g.label,
        CAST(g.x_min AS INT) * 416 / i.width AS x_min, CAST(g.y_min AS INT) * 416 / i.height AS y_min,
        CAST(g.x_max AS INT) * 416 / i.width AS x_max, CAST(g.y_max AS INT) * 416 / i.height AS y_max
-FROM gt g JOIN img i ON i.img_id = g.img_id WHERE g.box_id = 1""")
+FROM gt g JOIN img i ON i.img_id = g.img_id""")
 def q_truth_table(t):
-    """Single-box annotation lines joined to image sizes, rescaled to 416x416."""
-    return truth_table(scan_annotations(t.ann_line), t.img, 416, 416)
+    """Annotation lines of all boxes joined to image sizes, rescaled to 416x416."""
+    return truth_table(scan_annotations(_ann_lines(t)), t.img, 416, 416)
 
 
 # --- G2 / G3 / G4 / J10 -------------------------------------------------------------------------
@@ -259,7 +259,7 @@ ev_pairs AS (
   SELECT d.img_id, d.pred_id, d.label, d.score, t.box_id, t.label AS t_label, {ov} AS ov
   FROM nms_out d LEFT JOIN {truth} t ON t.img_id = d.img_id),
 ev_best AS (
-  SELECT * FROM ev_pairs QUALIFY row_number() OVER (PARTITION BY img_id, pred_id ORDER BY ov DESC NULLS LAST, box_id) = 1),
+  SELECT * FROM ev_pairs QUALIFY row_number() OVER (PARTITION BY img_id, label, pred_id ORDER BY ov DESC NULLS LAST, box_id) = 1),
 ev_claim AS (
   SELECT * FROM ev_best WHERE ov > 0.5 AND t_label = label
   QUALIFY row_number() OVER (PARTITION BY img_id, box_id ORDER BY score DESC, pred_id) = 1),
@@ -325,7 +325,7 @@ from boxframe.operators.assign import grid_truth  # noqa: E402
 
 _GRID_TRUTH_CTE = _ASSIGN_CTE + """,
 gtg AS (
-  SELECT img_id, CAST(((scale * 10000 + gy) * 10000 + gx) * 3 + k AS BIGINT) AS box_id,
+  SELECT img_id, CAST(((CAST(scale AS BIGINT) * 1000000 + gy) * 1000000 + gx) * 3 + k AS BIGINT) AS box_id,
          CAST(CASE WHEN mask & 1 <> 0 THEN 0 WHEN mask & 2 <> 0 THEN 1 ELSE 2 END AS INT) AS label,
          cx - w / 2 AS x_min, cy - h / 2 AS y_min, cx + w / 2 AS x_max, cy + h / 2 AS y_max
   FROM (SELECT img_id, scale, gy, gx, k, arg_max(cx, box_id) AS cx, arg_max(cy, box_id) AS cy,
@@ -356,8 +356,30 @@ dec_det AS (
           + "SELECT * FROM nms_out")
 def q_decode_nms(t):
     """B10-B14 + F1 + K2: feature maps to final detections (scores and corners rounded to 6 places)."""
-    boxes = predict_boxes(decode(_featmaps(t), 3, ANCHORS, img_w=64, img_h=32))
+    boxes = predict_boxes(decode(_featmaps(t), 3, ANCHORS, img_w=256, img_h=32))
     det = to_detections(boxes)
     det = det.select("img_id", "label", F.col("pred_id").cast("int").alias("pred_id"), F.round("score", 6).alias("score"),
                      *[F.round(c, 6).alias(c) for c in COORDS])
     return nms(det, 0.5, 0.3, 50, "tf")
+
+
+# --- E4: feature maps to VOC -------------------------------------------------------------------
+
+_DECODE_TRUTH_CTE = """,
+dec_truth AS (
+  SELECT g.img_id, g.box_id, g.label, g.x_min * 256 / i.width AS x_min, g.y_min * 32 / i.height AS y_min,
+         g.x_max * 256 / i.width AS x_max, g.y_max * 32 / i.height AS y_max
+  FROM gt g JOIN img i ON i.img_id = g.img_id WHERE g.img_id IN (SELECT vec_id FROM embeddings))"""
+
+
+@register("decode_voc", osql.with_views("cellmap", "gt", extra=_DECODE_DET_CTE + "," + osql.nms_sql("dec_det", score_t=0.3)
+                                        + _DECODE_TRUTH_CTE + "," + osql.voc_sql("nms_out", "dec_truth", 0.1)) + "SELECT * FROM voc_cls")
+def q_decode_voc(t):
+    """Feature maps -> detections (a slot may stay under several classes) -> NMS -> VOC at IoU 0.1."""
+    from boxframe.operators.voc import voc_eval
+    from boxframe.session import cut_lineage
+    g = t.gt.join(t.embeddings.select(F.col("vec_id").alias("img_id")), "img_id", "left_semi").join(t.img, "img_id")
+    truth = g.select("img_id", "box_id", "label", (F.col("x_min") * 256 / F.col("width")).alias("x_min"),
+                     (F.col("y_min") * 32 / F.col("height")).alias("y_min"), (F.col("x_max") * 256 / F.col("width")).alias("x_max"),
+                     (F.col("y_max") * 32 / F.col("height")).alias("y_max"))
+    return voc_eval(cut_lineage(q_decode_nms(t)), truth, 0.1)

@@ -158,7 +158,7 @@ def q_l2_penalty(t):
 
 from boxframe.config import DetectionConfig  # noqa: E402
 from boxframe.functions.schedule import LR_TYPES, learning_rate  # noqa: E402
-from boxframe.operators.feed import batch_sizes, epoch_batches, mixup_pairs  # noqa: E402
+from boxframe.operators.feed import batch_sizes, epoch_batches, mixup_boxes, mixup_pairs  # noqa: E402
 from boxframe.operators.match import evaluate_matches  # noqa: E402
 from boxframe.operators.meters import meters_by_window, weighted_meter  # noqa: E402
 from boxframe.operators.nms import nms  # noqa: E402
@@ -270,11 +270,11 @@ def q_dataset_profile(t):
 # --- L1 / A9 / J6 feed ------------------------------------------------------------------------------
 
 SEED = 7
-_U = "((({k}) % 2147483647) * 1103515245 + ({seed} % 2147483647) * 2654435761 % 2147483647 + ({d}) * 40503) % 2147483647"
 
 
 def _u_sql(k: str, d: str, seed: int = SEED) -> str:
-    return f"(CAST({_U.format(k=k, seed=seed, d=d)} AS DOUBLE) / 2147483647.0)"
+    text = f"'{seed}:' || CAST(CAST({d} AS BIGINT) AS VARCHAR) || ':' || CAST({k} AS VARCHAR)"
+    return f"(CAST(CAST('0x' || substr(md5({text}), 1, 12) AS BIGINT) AS DOUBLE) / 281474976710656.0)"
 
 
 _BATCH_CTE = f"""
@@ -309,22 +309,42 @@ def q_batch_sizes(t):
         "step", F.col("img_size").cast("int").alias("img_size"))
 
 
-@register("mixup_pairs", osql.with_views("img", extra=_BATCH_CTE + f""",
+_MIXUP_CTE = f""",
 mx_size AS (SELECT epoch, batch, count(*) AS bn, min(pos) AS b0 FROM eb GROUP BY epoch, batch),
 mx AS (
   SELECT e.*, s.bn, e.pos - s.b0 AS slot,
-         {_u_sql('e.img_id', '1 + e.epoch * 4')} < 0.5 AND s.bn > 1 AS mixed,
-         {_u_sql('e.img_id', '2 + e.epoch * 4')} AS u2
+         {_u_sql('e.img_id', '1 + e.epoch * 8')} < 0.5 AND s.bn > 1 AS mixed,
+         {_u_sql('e.img_id', '2 + e.epoch * 8')} AS u2,
+         0.5 + 0.5 * sqrt({_u_sql('e.img_id', '3 + e.epoch * 8')}) * cos(2 * pi() * {_u_sql('e.img_id', '4 + e.epoch * 8')}) AS lam
   FROM eb e JOIN mx_size s USING (epoch, batch)),
-mx2 AS (SELECT *, CASE WHEN mixed THEN (slot + 1 + CAST(floor(u2 * (bn - 1)) AS BIGINT)) % bn END AS pslot FROM mx)""") + """
-SELECT a.img_id, a.epoch, a.batch, a.mixed, b.img_id AS partner_id,
-       CASE WHEN a.mixed THEN b.img_id ELSE a.img_id END AS out_img_id
-FROM mx2 a LEFT JOIN mx2 b ON b.epoch = a.epoch AND b.batch = a.batch AND b.slot = a.pslot""")
-def q_mixup_pairs(t):
-    """Mix-up partner for half the images, another member of the same batch."""
+mx2 AS (SELECT *, CASE WHEN mixed THEN (slot + 1 + CAST(floor(u2 * (bn - 1)) AS BIGINT)) % bn END AS pslot FROM mx),
+mx3 AS (
+  SELECT a.img_id, a.epoch, a.batch, a.mixed, b.img_id AS partner_id,
+         CASE WHEN a.mixed THEN b.img_id ELSE a.img_id END AS out_img_id, CASE WHEN a.mixed THEN a.lam ELSE 1.0 END AS lam
+  FROM mx2 a LEFT JOIN mx2 b ON b.epoch = a.epoch AND b.batch = a.batch AND b.slot = a.pslot)"""
+
+
+def _mixed(t):
     b = _batches(t).select("img_id", "epoch", "batch", "pos")
-    return mixup_pairs(b, SEED).select("img_id", F.col("epoch").cast("int").alias("epoch"), "batch", "mixed",
-                                       "partner_id", "out_img_id")
+    return mixup_pairs(b, SEED, 20, t.img.count())
+
+
+@register("mixup_pairs", osql.with_views("img", extra=_BATCH_CTE + _MIXUP_CTE) + """
+SELECT img_id, epoch, batch, mixed, partner_id, out_img_id, round(lam, 9) AS lam FROM mx3""")
+def q_mixup_pairs(t):
+    """Mix-up partner for half the images, another member of the same batch, and the mix weight."""
+    return _mixed(t).select("img_id", F.col("epoch").cast("int").alias("epoch"), "batch", "mixed",
+                            "partner_id", "out_img_id", F.round("lam", 9).alias("lam"))
+
+
+@register("mixup_boxes", osql.with_views("gt", extra=_BATCH_CTE + _MIXUP_CTE) + """
+SELECT m.img_id, m.epoch, g.img_id AS from_id, g.box_id, g.label, g.x_min, g.y_min, g.x_max, g.y_max,
+       round(CASE WHEN g.img_id = m.img_id THEN m.lam ELSE 1 - m.lam END, 9) AS weight
+FROM mx3 m JOIN gt g ON g.img_id = m.img_id OR (m.mixed AND g.img_id = m.partner_id)""")
+def q_mixup_boxes(t):
+    """Truth boxes of every image after mix-up, own and partner's, with their weights."""
+    return (mixup_boxes(_mixed(t), t.gt).withColumn("epoch", F.col("epoch").cast("int"))
+            .withColumn("weight", F.round("weight", 9)))
 
 
 # --- L6 evaluate every 100 steps --------------------------------------------------------------------
@@ -334,7 +354,7 @@ ev_pairs AS (
   SELECT d.img_id, d.pred_id, d.label, d.score, t.box_id, t.label AS t_label, {ov} AS ov
   FROM nms_out d LEFT JOIN gt t ON t.img_id = d.img_id),
 ev_best AS (
-  SELECT * FROM ev_pairs QUALIFY row_number() OVER (PARTITION BY img_id, pred_id ORDER BY ov DESC NULLS LAST, box_id) = 1),
+  SELECT * FROM ev_pairs QUALIFY row_number() OVER (PARTITION BY img_id, label, pred_id ORDER BY ov DESC NULLS LAST, box_id) = 1),
 ev_claim AS (
   SELECT * FROM ev_best WHERE ov > 0.5 AND t_label = label
   QUALIFY row_number() OVER (PARTITION BY img_id, box_id ORDER BY score DESC, pred_id) = 1),

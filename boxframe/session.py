@@ -41,7 +41,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, setting a scratch one only if unset.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that one is used
-    as is.  Only an unset session (local tests) gets a fresh ``mktemp`` folder.
+    as is.  Only an unset session on a local master (tests) gets a fresh ``mktemp``
+    folder; on a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -49,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="boxframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path

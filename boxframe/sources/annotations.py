@@ -69,12 +69,21 @@ def format_annotation(img_id: Column, path: Column, boxes: Column) -> Column:
     return F.concat_ws(" ", img_id.cast("string"), path, F.array_join(parts, " "))
 
 
-def truth_table(annotations: DataFrame, dims: DataFrame, resize_w: int = 416, resize_h: int = 416) -> DataFrame:
+def truth_table(annotations: DataFrame, dims: DataFrame, resize_w: int = 416, resize_h: int = 416,
+                missing: str = "error") -> DataFrame:
     """Annotations joined to original image sizes, boxes rescaled to the input size.
 
-    ``dims``: ``img_id, width, height`` (original sizes).  One row per box."""
+    ``dims``: ``img_id, width, height`` (original sizes).  One row per box.  A box whose
+    image has no size is an error (``missing="error"``), or is left out on request
+    (``missing="drop"``)."""
+    if missing not in ("error", "drop"):
+        raise ValueError(missing)
     boxes = explode_boxes(annotations)
-    j = boxes.join(dims.select("img_id", "width", "height"), "img_id")
+    size = dims.select("img_id", "width", "height")
+    j = boxes.join(size, "img_id", "inner" if missing == "drop" else "left")
+    if missing == "error":
+        told = F.raise_error(F.concat(F.lit("no size for image "), F.col("img_id").cast("string"))).cast("int")
+        j = j.withColumn("width", F.when(F.col("width").isNull(), told).otherwise(F.col("width")))
     return j.select("img_id", "box_id", "label",
                     (F.col("x_min") * resize_w / F.col("width")).alias("x_min"),
                     (F.col("y_min") * resize_h / F.col("height")).alias("y_min"),

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def scan_images(spark: SparkSession, path: str, drop_invalid: bool = True) -> DataFrame:
-    """S3: decoded images; unreadable files are dropped (or kept as invalid rows)."""
+def scan_images(spark: SparkSession, path: str, drop_invalid: bool = False) -> DataFrame:
+    """S3: decoded images; unreadable files stay as rows with height -1 unless dropped on request."""
     df = spark.read.format("image").option("dropInvalid", drop_invalid).load(path)
     return df.select(F.col("image.origin").alias("origin"),
                      F.struct(F.col("image.height").alias("height"), F.col("image.width").alias("width"),
@@ -20,12 +20,16 @@ def image_dims(images: DataFrame) -> DataFrame:
     return images.select("origin", F.col("image.width").alias("width"), F.col("image.height").alias("height"))
 
 
-def attach_images(annotations: DataFrame, images: DataFrame, path_col: str = "path") -> DataFrame:
-    """Annotations joined to decoded images.
+def attach_images(annotations: DataFrame, images: DataFrame, path_col: str = "path", root: str = "",
+                  missing: str = "keep") -> DataFrame:
+    """Annotations joined to decoded images by their full path.
 
-    Equi-join on the file name, then the image URI must end with the
-    annotation's (relative) path."""
-    a = annotations.withColumn("__name", F.regexp_extract(F.col(path_col), r"([^/]+)$", 1))
-    i = images.withColumn("__name", F.regexp_extract(F.col("origin"), r"([^/]+)$", 1))
-    j = a.join(i, "__name")
-    return j.filter(F.col("origin").endswith(F.col(path_col))).drop("__name")
+    Relative annotation paths are below ``root``; both sides lose their URI scheme.  An
+    annotation without an image stays with a null ``image`` (``missing="keep"``) or is left
+    out on request (``missing="drop"``)."""
+    bare = lambda c: F.regexp_replace(c, r"^[a-zA-Z][\w+.-]*:(//[^/]*)?(?=/)", "")
+    path = bare(F.col(path_col))
+    below = F.concat(bare(F.lit(root.rstrip("/") + "/")), path)
+    a = annotations.withColumn("__path", F.when(path.startswith("/"), path).otherwise(below))
+    i = images.withColumn("__file", F.regexp_replace(bare(F.col("origin")), "^/+", "/"))
+    return a.join(i, F.col("__path") == F.col("__file"), "left" if missing == "keep" else "inner").drop("__path", "__file")

@@ -216,6 +216,8 @@ class TFRecordDataSource(DataSource):
             paths = sorted(p for p in glob.glob(os.path.join(path, "*")) if os.path.isfile(p))
         else:
             paths = sorted(glob.glob(path))
+        if not paths:
+            raise FileNotFoundError(f"no record file at {path}")
         return TFRecordReader(paths, mode)
 
 

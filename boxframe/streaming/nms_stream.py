@@ -19,12 +19,21 @@ from boxframe.operators.nms import nms
 DET_SCHEMA = "img_id bigint, label int, pred_id bigint, score double, x_min double, y_min double, x_max double, y_max double"
 
 
-def _emitted_images(spark: SparkSession, out_dir: str, before_epoch: int) -> DataFrame | None:
+SEEN_BUCKETS = 64
+
+
+def _bucket(img_id):
+    return F.pmod(F.xxhash64(img_id), F.lit(SEEN_BUCKETS)).cast("int")
+
+
+def _seen_images(spark: SparkSession, seen_dir: str, before_epoch: int, buckets: list[int]) -> DataFrame | None:
+    """Images of earlier epochs, whether they gave detections or not; only the folders of
+    the batch's hash buckets are read."""
     try:
-        done = spark.read.parquet(out_dir)
+        done = spark.read.schema("img_id bigint, epoch_id bigint, bucket int").parquet(seen_dir)
     except AnalysisException:  # nothing written yet
         return None
-    return done.filter(F.col("epoch_id") < before_epoch).select("img_id").distinct()
+    return done.filter((F.col("epoch_id") < before_epoch) & F.col("bucket").isin(buckets)).select("img_id").distinct()
 
 
 def start_nms_stream(spark: SparkSession, source_dir: str, out_dir: str, late_dir: str, checkpoint_dir: str, *,
@@ -36,16 +45,23 @@ def start_nms_stream(spark: SparkSession, source_dir: str, out_dir: str, late_di
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_dir)
 
+    seen_dir = f"{out_dir.rstrip('/')}_seen"
+
     def process(batch: DataFrame, epoch_id: int) -> None:
-        seen = _emitted_images(batch.sparkSession, out_dir, epoch_id)
+        spark = batch.sparkSession
+        images = batch.select("img_id", _bucket("img_id").alias("bucket")).distinct()
+        buckets = [r.bucket for r in images.select("bucket").distinct().collect()]  # SEEN_BUCKETS at most
+        seen = _seen_images(spark, seen_dir, epoch_id, buckets)
         fresh, late = batch, None
         if seen is not None:
             fresh = batch.join(seen, "img_id", "left_anti")
             late = batch.join(seen, "img_id", "left_semi")
+            images = images.join(seen, "img_id", "left_anti")
         kept = nms(fresh, iou_threshold, score_threshold, topk, variant)
         kept.withColumn("epoch_id", F.lit(epoch_id)).write.mode("overwrite").parquet(f"{out_dir}/epoch_id={epoch_id}")
         if late is not None:
             late.withColumn("epoch_id", F.lit(epoch_id)).write.mode("overwrite").parquet(f"{late_dir}/epoch_id={epoch_id}")
+        (images.write.mode("overwrite").partitionBy("bucket").parquet(f"{seen_dir}/epoch_id={epoch_id}"))
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint_dir).foreachBatch(process)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

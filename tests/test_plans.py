@@ -36,7 +36,7 @@ def test_score_mask_and_columns_reach_the_scan(spark):
     det = spark.read.parquet(f"{d}/pred")
     plan = _plan(nms(det.select("img_id", "label", "pred_id", "score", "x_min", "y_min", "x_max", "y_max"),
                      strategy="fold"))
-    assert "PushedFilters: [IsNotNull(score), GreaterThanOrEqual(score,0.5)]" in plan
+    assert "IsNotNull(score)" in plan and "GreaterThanOrEqual(score,0.5)" in plan.split("PushedFilters:")[1]
     from boxframe.operators.match import class_counts
     counts = _plan(class_counts(det))
     assert "ReadSchema: struct<label:int>" in counts

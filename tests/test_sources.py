@@ -91,14 +91,18 @@ def test_images_dims_and_attach(spark):
     _png(f"{d}/img/a.png", rgb)
     with open(f"{d}/img/broken.png", "wb") as f:
         f.write(b"not an image")
-    imgs = scan_images(spark, f"{d}/img")
+    assert scan_images(spark, f"{d}/img").count() == 2  # the broken one stays, marked
+    imgs = scan_images(spark, f"{d}/img", drop_invalid=True)
     assert imgs.count() == 1
     dims = image_dims(imgs).first()
     assert (dims.width, dims.height) == (6, 4)
     px = imgs.first().image
     assert px.data[0] == 0 and px.data[2] == 200   # BGR order
-    ann = spark.createDataFrame([(0, "img/a.png")], "img_id long, path string")
-    assert attach_images(ann, imgs).count() == 1
+    ann = spark.createDataFrame([(0, "img/a.png"), (1, "mg/a.png"), (2, f"{d}/img/a.png"), (3, f"file://{d}/img/a.png")],
+                                "img_id long, path string")
+    got = {r.img_id: r.image is not None for r in attach_images(ann, imgs, root=d).collect()}
+    assert got == {0: True, 1: False, 2: True, 3: True}
+    assert attach_images(ann, imgs, root=d, missing="drop").count() == 3
 
 
 def test_metrics_and_detection_sinks(spark):

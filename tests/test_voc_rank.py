@@ -125,3 +125,14 @@ def test_results_invariant_under_repartition(spark):
     base = sorted(map(tuple, voc_eval(d, t).collect()))
     for n in (1, 7, 64):
         assert sorted(map(tuple, voc_eval(d.repartition(n), t.repartition(n)).collect())) == base
+
+
+def test_box_kept_under_two_classes_is_two_detections(spark):
+    """One slot id under classes 0 and 1, truth of class 0 there: class 1 has no hit."""
+    from boxframe.operators.match import evaluate_matches
+    det = spark.createDataFrame([(1, 7, 0, 0.9, 0.0, 0.0, 10.0, 10.0), (1, 7, 1, 0.8, 0.0, 0.0, 10.0, 10.0)],
+                                "img_id long, pred_id long, label int, score double, x_min double, y_min double, x_max double, y_max double")
+    truth = spark.createDataFrame([(1, 1, 0, 0.0, 0.0, 10.0, 10.0), (1, 2, 1, 500.0, 500.0, 510.0, 510.0)],
+                                  "img_id long, box_id long, label int, x_min double, y_min double, x_max double, y_max double")
+    assert {r.label: (r.nd, r.tp) for r in voc_eval(det, truth).collect()} == {0: (1, 1), 1: (1, 0)}
+    assert {r.label: (r.n_pred, r.n_tp) for r in evaluate_matches(det, truth).collect()} == {0: (1, 1), 1: (1, 0)}
