@@ -10,8 +10,8 @@ together and no more, whatever the length of a document.
 Reading back streams the blocks of a file in order; checksums of documents run across blocks.
 
 Ids are those of the tokenizers library, without added tokens.  Words between ASCII white space are
-encoded once per task and remembered (at most ``MAX_WORDS``): in vocabularies whose pre-tokenizer drops
-white space, an id never depends on what is beyond it.
+encoded once per worker and remembered (at most ``MAX_WORDS``): in vocabularies that lower-case and
+whose pre-tokenizer drops white space, an id never depends on what is beyond it.
 
 Defined cases: null text counts as empty (the end id alone); null ids sort first; repeated rows are
 repeated documents, equal ids in the order of their texts' hashes, so every row's result is the same
@@ -19,6 +19,7 @@ whatever their order; an empty table gives an empty stream."""
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -34,7 +35,7 @@ from boxframe.llm import rangecoder
 from boxframe.llm.textkit import small_batches, written
 
 END_ID = 1
-MAX_WORDS = 300_000
+MAX_WORDS = 1_000_000
 _SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
 _ODD = re.compile("[\x1c-\x1f]")  # str.split takes these for white space, the vocabulary does not
 _DOCS = pa.list_(pa.struct([("doc_id", pa.int64()), ("at", pa.int32()), ("n", pa.int64())]))
@@ -44,9 +45,13 @@ class WordTokenizer:
     """Ids of texts, word by word, for a tokenizers file that drops white space."""
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel part
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.id_bits = max(6, (self.tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = [t.content for _, t in sorted(added.items())]
+        self.parting = min(added) if added else -1
         self._reset()
 
     def _reset(self) -> None:
@@ -55,18 +60,34 @@ class WordTokenizer:
         self.starts = np.zeros(MAX_WORDS + 1, np.int64)
         self.used = 0
 
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the words one after the other, number of ids of each word).  Words go to the library
+        as one text with a special token between them, which parts them as separate texts would; if
+        one of them holds such a token, each goes alone."""
+        if self.special:
+            text = self.special[0].join(words)
+            if sum(text.count(t) for t in self.special) == len(words) - 1:
+                ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+                cuts = np.flatnonzero(ids == self.parting)
+                return ids[ids != self.parting], np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+        lists = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        return np.array([i for x in lists for i in x], np.uint32), np.array([len(x) for x in lists])
+
     def _learn(self, words: list[str]) -> None:
-        for word, e in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False)):
-            k = len(self.index)
-            self.index[word] = k
-            n = len(e.ids)
-            if self.used + n > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(n, len(self.flat)), np.uint32)])
-            self.flat[self.used: self.used + n] = e.ids
+        for at in range(0, len(words), 2000):
+            part = words[at:at + 2000]
+            ids, sizes = self._encode(part)
+            k, n = len(self.index), len(ids)
+            while self.used + n > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
+            self.flat[self.used: self.used + n] = ids
+            self.starts[k + 1: k + 1 + len(part)] = self.used + sizes.cumsum()
             self.used += n
-            self.starts[k + 1] = self.used
+            self.index.update(zip(part, range(k, k + len(part))))
 
     def ids(self, text: str) -> np.ndarray:
+        if text.isascii() and "<|" not in text:
+            text = text.lower()  # as the vocabulary does; fewer words to learn
         words = text.split() if not _ODD.search(text) else [w for w in _SPACE.split(text) if w]
         out = []
         for at in range(0, len(words), MAX_WORDS // 2):
