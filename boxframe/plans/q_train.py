@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from boxframe.config import DEFAULT_ANCHORS, parse_anchor_string
 from boxframe.operators.assign import assign_anchors, class_mask, encode_targets
-from boxframe.operators.decode import decode
 from boxframe.operators.loss import detection_loss, l2_penalty
 from boxframe.plans import oracle_sql as osql
 from boxframe.plans.catalog import register
@@ -134,18 +133,53 @@ per AS (
   FROM terms GROUP BY ROLLUP (scale))"""
 
 
-@register("detection_loss", osql.with_views("gt", extra=_LOSS_CTE) + """
+_LOSS_SELECT = """
 SELECT scale, round(l_xy / n, 6) AS loss_xy, round(l_wh / n, 6) AS loss_wh, round(l_conf / n, 6) AS loss_conf,
        round(l_class / n, 6) AS loss_class, round((l_xy + l_wh + l_conf + l_class) / n, 6) AS loss_total
-FROM per CROSS JOIN nimg""")
-def q_detection_loss(t):
-    """G9 with J4 (ignore mask), J5 (slot-target join), B15-B19: per-scale losses and the total."""
-    slots = decode(featmaps3(t), 3, LOSS_ANCHORS, img_w=64, img_h=32)
-    out = detection_loss(slots, loss_targets(t), 3, LOSS_ANCHORS)
+FROM per CROSS JOIN nimg"""
+
+
+def _loss(t, maps=None, targets=None, **kw):
+    out = detection_loss(featmaps3(t) if maps is None else maps, loss_targets(t) if targets is None else targets, 3,
+                         LOSS_ANCHORS, img_w=64, img_h=32, **kw)
     return out.select("scale", *[F.round(c, 6).alias(c) for c in
                                  ("loss_xy", "loss_wh", "loss_conf", "loss_class", "loss_total")])
 
 
+@register("detection_loss", osql.with_views("gt", extra=_LOSS_CTE) + _LOSS_SELECT)
+def q_detection_loss(t):
+    """G9 with J4 (ignore mask), J5 (slot-target join), B15-B19: per-scale losses and the total."""
+    return _loss(t)
+
+
+def _smooth_sql(sql: str) -> str:
+    for bit in (1, 2, 4):
+        y = f"CASE WHEN coalesce(t_mask, 0) & {bit} <> 0 THEN 1.0 ELSE 0.0 END"
+        sql = sql.replace(y, f"(CAST(0.99 AS DOUBLE) * {y} + CAST(0.01 AS DOUBLE) / 3)")
+    return sql
+
+
+_FOCAL_CTE = _LOSS_CTE.replace("* (greatest(tc, 0.0) - tc * o + ln(1 + exp(-abs(tc)))) * m AS l_conf",
+                               "* (greatest(tc, 0.0) - tc * o + ln(1 + exp(-abs(tc)))) * pow(abs(o - 1.0 / (1.0 + exp(-tc))), 2) * m AS l_conf")
+
+
+@register("detection_loss_focal_smooth", osql.with_views("gt", extra=_smooth_sql(_FOCAL_CTE)) + _LOSS_SELECT)
+def q_detection_loss_focal_smooth(t):
+    """G9 with both switches on: focal weight on the object term (B19), smoothed class targets."""
+    return _loss(t, use_focal_loss=True, use_label_smooth=True)
+
+
+_BATCH_SCOPE_CTE = _LOSS_CTE.replace("FROM sl2 s LEFT JOIN tg t ON t.img_id = s.img_id AND t.scale = s.scale",
+                                     "FROM sl2 s LEFT JOIN tg t ON t.img_id // 20 = s.img_id // 20 AND t.scale = s.scale")
+
+
+@register("detection_loss_batch_scope", osql.with_views("gt", extra=_BATCH_SCOPE_CTE) + _LOSS_SELECT)
+def q_detection_loss_batch_scope(t):
+    """G9 with the ignore mask over all truths of a batch of 20 image ids."""
+    batch = lambda df: df.withColumn("batch", F.floor(F.col("img_id") / 20).cast("bigint"))
+    return _loss(t, batch(featmaps3(t)), batch(loss_targets(t)), scope="batch")
+
+
 @register("l2_penalty", osql.with_views() + """
 SELECT round(CAST(5e-4 AS DOUBLE) * sum(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) / 2, 9)
   AS loss_l2 FROM embeddings""")
@@ -487,10 +521,17 @@ def q_augment_boxes(t):
                .select("img_id", "interp", "flip_h", "crop_w", "crop_h", "b.box_id", "b.label", *[f"b.{c}" for c in COORDS]))
 
 
-@register("dense_targets")
+@register("dense_targets", osql.with_views("gt", extra=_LOSS_CTE) + """
+, slot_sum AS (
+  SELECT img_id, scale, sum(CAST(CAST(t_cx AS FLOAT) AS DOUBLE) + CAST(CAST(t_cy AS FLOAT) AS DOUBLE) + CAST(CAST(t_w AS FLOAT) AS DOUBLE)
+         + CAST(CAST(t_h AS FLOAT) AS DOUBLE) + 1.0 + (t_mask & 1) + ((t_mask >> 1) & 1) + ((t_mask >> 2) & 1) + t_weight - 1.0) AS v
+  FROM tg GROUP BY img_id, scale)
+SELECT f.img_id, CAST(f.scale AS INT) AS scale, CAST(f.gh AS INT) AS grid_h, CAST(f.gw AS INT) AS grid_w,
+       CAST(f.gh * f.gw * 3 * 9 AS INT) AS n_values, round(f.gh * f.gw * 3 + coalesce(s.v, 0.0), 4) AS value_sum
+FROM fm f LEFT JOIN slot_sum s ON s.img_id = f.img_id AND s.scale = f.scale""")
 def q_dense_targets(t):
     """A10: dense grids for the 64x32 loss fixture (3 scales per image)."""
     imgs = t.embeddings.select(F.col("vec_id").alias("img_id"), F.lit(64).alias("img_w"), F.lit(32).alias("img_h"))
     d = dense_targets(loss_targets(t), imgs, 3)
     return d.select("img_id", "scale", "grid_h", "grid_w", F.size("values").alias("n_values"),
-                    F.aggregate("values", F.lit(0.0), lambda a, x: a + x.cast("double")).alias("value_sum"))
+                    F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("value_sum"))

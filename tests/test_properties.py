@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from boxframe.functions.boxes import iou
-from boxframe.operators.loss import slot_best_iou
+from boxframe.operators.loss import decode_with_targets
 
 coord = st.integers(min_value=-50, max_value=250)
 
@@ -34,13 +34,15 @@ def test_iou_bounded_and_symmetric(spark, pairs):
 
 
 def test_ignore_mask_scope_image_vs_batch(spark):
-    # two images in one batch; image 2 has a truth exactly where image 1's slot predicts
-    slots = spark.createDataFrame([(1, 0, 0, 0, 0, 50.0, 50.0, 20.0, 20.0, 7)],
-                                  "img_id long, scale int, gy int, gx int, k int, cx double, cy double, "
-                                  "w double, h double, batch int")
-    targets = spark.createDataFrame([(2, 0, 0, 0, 0, 50.0, 50.0, 20.0, 20.0, 7)],
+    # two images in one batch; image 2 has a truth exactly where image 1's first slot predicts
+    maps = spark.createDataFrame([(1, 0, 1, 1, [0.0] * 24, 7)],
+                                 "img_id long, scale int, grid_h int, grid_w int, values array<double>, batch int")
+    targets = spark.createDataFrame([(2, 0, 0, 0, 0, 50.0, 50.0, 20.0, 20.0, 1.0, [0], 7)],
                                     "img_id long, scale int, gy int, gx int, k int, cx double, cy double, "
-                                    "w double, h double, batch int")
-    per_image = slot_best_iou(slots, targets, scope="image").first().best_iou
-    per_batch = slot_best_iou(slots, targets, scope="batch").first().best_iou
-    assert per_image == 0.0 and np.isclose(per_batch, 1.0)
+                                    "w double, h double, weight double, classes array<int>, batch int")
+    best = {scope: decode_with_targets(maps, targets, 3, [(20.0, 20.0)] * 9, img_w=100, img_h=100, scope=scope)
+            .filter("k = 0").first() for scope in ("image", "batch")}
+    assert best["image"].best_iou == 0.0 and np.isclose(best["batch"].best_iou, 1.0)
+    assert best["image"].tgt is None and best["batch"].tgt is None  # the slot's own target is of its own image
+    own = decode_with_targets(maps, targets.withColumn("img_id", F.lit(1).cast("long")), 3, [(20.0, 20.0)] * 9, img_w=100, img_h=100)
+    assert [r.tgt is not None for r in own.orderBy("k").collect()] == [True, False, False]
