@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxframe.operators.match import best_truth, class_counts, match_winners
+from boxframe.operators.match import unknown_images as images_without_truth
 from boxframe.operators.ranking import global_rank, suffix_max
 
 RANK_ORDER = [("score", False), ("img_id", True), ("pred_id", True)]
@@ -41,12 +42,21 @@ def pr_curve(det: DataFrame, truth: DataFrame, iou_threshold: float = 0.5, *,
 
 
 def voc_eval(det: DataFrame, truth: DataFrame, iou_threshold: float = 0.5, use_07_metric: bool = False, *,
-             rank_strategy: str = "two_pass", parity: bool = False) -> DataFrame:
+             rank_strategy: str = "two_pass", parity: bool = False,
+             unknown_images: str = "fp") -> DataFrame:
     """Per class: ``label, npos, nd, tp, recall, precision, ap``.
 
     Classes present in the truth or the detections.  No detections: nd = 0,
     recall = precision = ap = 0 (``parity=True`` also reports npos = nd = 1e-6
-    as the studied code does).  No truth: recall and ap are NULL."""
+    as the studied code does).  No truth: recall and ap are NULL.  Detections on images
+    without any truth are false positives (``unknown_images="fp"``) or an error
+    (``"error"``, as in the studied code)."""
+    if unknown_images not in ("fp", "error"):
+        raise ValueError(unknown_images)
+    if unknown_images == "error":
+        stray = images_without_truth(det, truth).select("img_id").first()
+        if stray is not None:
+            raise KeyError(f"image {stray.img_id} has detections but no truth")
     npos = class_counts(truth, name="npos")
     curve = pr_curve(det, truth, iou_threshold, rank_strategy=rank_strategy, npos=npos)
     aggs = [F.count(F.lit(1)).alias("nd"), F.sum("tp").cast("bigint").alias("tp"),

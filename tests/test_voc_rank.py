@@ -135,4 +135,10 @@ def test_box_kept_under_two_classes_is_two_detections(spark):
     truth = spark.createDataFrame([(1, 1, 0, 0.0, 0.0, 10.0, 10.0), (1, 2, 1, 500.0, 500.0, 510.0, 510.0)],
                                   "img_id long, box_id long, label int, x_min double, y_min double, x_max double, y_max double")
     assert {r.label: (r.nd, r.tp) for r in voc_eval(det, truth).collect()} == {0: (1, 1), 1: (1, 0)}
+    import pytest
+    stray = det.withColumn("img_id", det.img_id + 5)
+    with pytest.raises(KeyError):
+        voc_eval(stray, truth, unknown_images="error")
+    assert voc_eval(det, truth, unknown_images="error").count() == 2
+    assert {r.label: (r.nd, r.tp) for r in voc_eval(stray, truth).collect()} == {0: (1, 0), 1: (1, 0)}
     assert {r.label: (r.n_pred, r.n_tp) for r in evaluate_matches(det, truth).collect()} == {0: (1, 1), 1: (1, 0)}
