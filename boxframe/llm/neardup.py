@@ -7,13 +7,15 @@ reaches ``threshold``; the classes are the connected components of these links.
    MinHash bands, in one pass over the documents.  Documents with equal sets become one node (a
    partial minimum), so a group of copies of any size costs one node from here on.
 2. Bands are chosen so that a pair at the threshold shares none with at most ``BAND_MISS``.
-   Round one compares every node with one hub only (the smallest node of its buckets), at most one
-   candidate per node, and takes components.
+   Round one compares every node with one hub only, the node of its buckets that shares buckets with
+   most others (of a group of copies that is the text they derive from): at most one candidate per
+   node.  Then components are taken.
 3. Round two covers the rest: in buckets that still hold several components, nodes outside the
    largest one are compared with the nodes of other components.  Buckets are laid out in blocks of
-   ``BLOCK`` nodes; a task holds two blocks and compares their signatures as matrices, so all pairs of
-   a bucket are looked at but only survivors become rows.  After it, every pair that shares a band was
-   either compared or is in one component already.
+   ``BLOCK`` nodes; a task holds two blocks and compares their signatures as matrices.  All pairs of
+   the bucket are looked at, but a task returns only links that join two components, so fewer rows
+   than it has nodes.  After it, every pair that shares a band was either compared or is in one
+   component.
 4. Comparing is sequential: after each batch of ``BATCH`` signature values, a pair is pruned when the
    posterior probability of reaching the threshold (uniform prior) is under ``MISS``.  Survivors are
    verified exactly on their full shingle sets.
@@ -159,15 +161,15 @@ def survives(sa: np.ndarray, sb: np.ndarray, least: list[int]) -> bool:
     return True
 
 
-def _verified(pairs: DataFrame, payload: DataFrame, threshold: float, pruned: bool) -> DataFrame:
-    """The pairs (a, b) whose sets are similar.  ``pruned``: the signatures were compared before."""
+def _verified(pairs: DataFrame, payload: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose signatures survive and whose sets are similar."""
     least = least_matches(threshold)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
             keep = []
             for sa, sb, ia, ib in zip(p["sig_a"], p["sig_b"], p["items_a"], p["items_b"]):
-                ok = pruned or survives(np.frombuffer(sa, np.uint32), np.frombuffer(sb, np.uint32), least)
+                ok = survives(np.frombuffer(sa, np.uint32), np.frombuffer(sb, np.uint32), least)
                 keep.append(ok and similar(np.frombuffer(ia, np.uint64), np.frombuffer(ib, np.uint64), threshold))
             yield p.loc[np.array(keep, bool), ["a", "b"]]
 
@@ -177,9 +179,9 @@ def _verified(pairs: DataFrame, payload: DataFrame, threshold: float, pruned: bo
             .mapInPandas(run, "a binary, b binary"))
 
 
-def _cross_pairs(members: DataFrame, payload: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of different components in a bucket whose signatures survive.  ``members`` is
-    (h, node, comp) of buckets with several components."""
+def _links(members: DataFrame, payload: DataFrame, threshold: float) -> DataFrame:
+    """Similar pairs (a, b) that join different components of a bucket.  ``members`` is (h, node, comp)
+    of buckets with several components."""
     least = least_matches(threshold)
     counts = members.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("c"))
     major = counts.groupBy("h").agg(F.max(F.struct("c", "comp")).alias("m"), F.sum("c").alias("size"))
@@ -196,16 +198,17 @@ def _cross_pairs(members: DataFrame, payload: DataFrame, threshold: float) -> Da
     # task (h, p, q): minor nodes of block p against all nodes of block q
     laid = left.select("h", F.col("blk").alias("p"), F.col("other").alias("q"), "node", "comp", "minor").unionByName(
         right.select("h", F.col("other").alias("p"), F.col("blk").alias("q"), "node", "comp", "minor"))
-    laid = laid.join(payload.select("node", "sig"), "node")
+    laid = laid.join(payload, "node")
 
     def compare(part: pd.DataFrame, out: list) -> None:
-        """Survivors of one task (h, p, q): its minor nodes against the other side."""
+        """Links of one task (h, p, q): its minor nodes against the other side, pairs with most matches
+        first; pairs that earlier links have brought together are skipped."""
         side = part["minor"].to_numpy(bool)
         if side.all() or not side.any():
             return
         sig = np.frombuffer(b"".join(part["sig"]), np.uint32).reshape(len(part), SIGNATURE)
-        comp = part["comp"].to_numpy()
-        node = part["node"].to_numpy()
+        names, comp = np.unique(part["comp"].to_numpy(), return_inverse=True)
+        node, items = part["node"].to_numpy(), part["items"].to_numpy()
         at_a, at_b = np.flatnonzero(side), np.flatnonzero(~side)
         ia, ib = np.nonzero(comp[at_a][:, None] != comp[at_b][None, :])
         ia, ib = at_a[ia], at_b[ib]
@@ -215,7 +218,20 @@ def _cross_pairs(members: DataFrame, payload: DataFrame, threshold: float) -> Da
             matches += (sig[ia, cut] == sig[ib, cut]).sum(1)
             go = matches >= need
             ia, ib, matches = ia[go], ib[go], matches[go]
-        out.extend((max(x, y), min(x, y)) for x, y in zip(node[ia], node[ib]))
+        root = list(range(len(names)))
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        order = np.argsort(-matches, kind="stable")
+        for x, y, ca, cb in zip(ia[order].tolist(), ib[order].tolist(), comp[ia[order]].tolist(), comp[ib[order]].tolist()):
+            ra, rb = find(ca), find(cb)
+            if ra != rb and similar(np.frombuffer(items[x], np.uint64), np.frombuffer(items[y], np.uint64), threshold):
+                root[ra] = rb
+                out.append((node[x], node[y]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # rows arrive sorted by (h, p, q); a task's rows are held until the next one begins
@@ -246,20 +262,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8) -> Data
     nodes = (marks.filter("node is not null").groupBy("node")
              .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("bands").alias("bands")))
     banded = nodes.select("node", F.explode("bands").alias("h"))
-    buckets = banded.groupBy("h").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub <> top")
-    members = cut_lineage(banded.join(buckets.select("h", "hub"), "h"))
+    buckets = banded.groupBy("h").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = cut_lineage(banded.join(buckets, "h"))
+    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    hubs = members.join(weight, "node").groupBy("h").agg(F.max(F.struct("weight", "node")).alias("hub"))
     light = marks.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     payload = cut_lineage(_payload(docs, members.select("node").distinct().join(light, "node"), k))
 
-    first = members.groupBy("node").agg(F.min("hub").alias("b")).filter("node <> b").select(F.col("node").alias("a"), "b")
-    first = cut_lineage(first)
-    roots = components(_verified(first, payload, threshold, pruned=False))
+    best = members.select("h", "node").join(hubs, "h").groupBy("node").agg(F.max("hub").alias("hub"))
+    first = best.select(F.col("node").alias("a"), F.col("hub.node").alias("b")).filter("a <> b")
+    roots = components(_verified(first, payload, threshold))
 
     label = members.join(roots, "node", "left").select("h", "node", F.coalesce("root", "node").alias("comp"))
     mixed = label.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("h")
     rest = cut_lineage(label.join(mixed, "h"))
-    second = _cross_pairs(rest, payload, threshold).join(first, ["a", "b"], "left_anti")
-    linked = _verified(second, payload, threshold, pruned=True)
+    linked = cut_lineage(_links(rest, payload, threshold))
     comp = rest.select("node", "comp").distinct()
     bridges = (linked.join(comp.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a")
                .join(comp.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b")
