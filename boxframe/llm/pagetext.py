@@ -205,8 +205,9 @@ def token_vectors(pages: DataFrame) -> DataFrame:
 
 def _templates(vectors: DataFrame, sizes: DataFrame) -> DataFrame:
     """(host, tokens, has_main): the tokens of the valid classes of every host with enough pages."""
-    near = (vectors.join(sizes, "host")
-            .filter((F.col("pages") >= MIN_PAGES) & (F.col("n_pages") >= F.col("pages") * SUPPORT) & (F.col("total") == F.col("n_pages"))))
+    # tokens of single pages, which are most, cannot reach the support and stay out of the join
+    often = vectors.filter((F.col("n_pages") >= MIN_PAGES * SUPPORT) & (F.col("total") == F.col("n_pages")))
+    near = often.join(sizes, "host").filter((F.col("pages") >= MIN_PAGES) & (F.col("n_pages") >= F.col("pages") * SUPPORT))
     classes = (near.groupBy("host", "n_pages", "v1", "v2")
                .agg(F.collect_list("token").alias("tokens"), F.max(F.col("name").rlike(r"(^|/)(article|main)(\.[^/]*)?$")).alias("m"))
                .filter(F.size("tokens") >= MIN_CLASS))
