@@ -33,8 +33,14 @@ def best_truth(det: DataFrame, truth: DataFrame, *, by_label: bool, variant: str
     filter (ties included), so the decision is unchanged while the per-detection
     aggregation sees only real matches.
     """
+    best = _best(det, truth, by_label, variant, cell, min_iou).drop("score")
+    return det.join(best, list(DET_KEY), "left")
+
+
+def _best(det: DataFrame, truth: DataFrame, by_label: bool, variant: str, cell: float, min_iou: float | None) -> DataFrame:
+    """Best truth of every detection that overlaps one (above ``min_iou``), with its score."""
     keys = ["img_id", "label"] if by_label else ["img_id"]
-    a = det.select(*DET_KEY, *[F.col(c).alias(f"a_{c}") for c in COORDS])
+    a = det.select(*DET_KEY, F.col("score").alias("__score"), *[F.col(c).alias(f"a_{c}") for c in COORDS])
     extra = [] if by_label else [F.col("label").alias("b_label")]
     b = truth.select(*keys, F.col("box_id").alias("b_box_id"), *extra, *[F.col(c).alias(f"b_{c}") for c in COORDS])
     pairs = overlap_join(a, b, keys, pad=PAD_FOR_VARIANT[variant], cell=cell, normalise=(variant == "tf"))
@@ -42,15 +48,32 @@ def best_truth(det: DataFrame, truth: DataFrame, *, by_label: bool, variant: str
     bbox = F.struct(*[F.col(f"b_{c}").alias(c) for c in COORDS])
     blabel = F.col("b_label") if not by_label else F.col("label")
     scored = pairs.select(*DET_KEY, iou(abox, bbox, variant).alias("__ov"), "b_box_id",
-                          blabel.alias("b_label"))
+                          blabel.alias("b_label"), "__score")
     if min_iou is not None:
         scored = scored.filter(F.col("__ov") > F.lit(float(min_iou)))
-    best = (scored.groupBy(*DET_KEY)
+    return (scored.groupBy(*DET_KEY)
                   .agg(F.max(F.struct(F.col("__ov"), F.negative(F.col("b_box_id")).alias("__nb"),
-                                      F.col("b_label"))).alias("__m"))
-                  .select(*DET_KEY, F.col("__m.__ov").alias("best_iou"),
-                          F.negative(F.col("__m.__nb")).alias("best_box_id"), F.col("__m.b_label").alias("best_label")))
-    return det.join(best, list(DET_KEY), "left")
+                                      F.col("b_label"), F.col("__score"))).alias("__m"))
+                  .select(*DET_KEY, F.col("__m.__ov").alias("best_iou"), F.negative(F.col("__m.__nb")).alias("best_box_id"),
+                          F.col("__m.b_label").alias("best_label"), F.col("__m.__score").alias("score")))
+
+
+def flag_matches(det: DataFrame, truth: DataFrame, iou_threshold: float, *, by_label: bool, variant: str = "eps",
+                 cell: float = 256.0) -> DataFrame:
+    """Detections with ``tp`` = 1 on the one that claims each truth (:func:`best_truth` and
+    :func:`match_winners` in one).  Scores travel with the overlapping pairs, so the
+    detections themselves are joined once."""
+    claim = _best(det, truth, by_label, variant, cell, iou_threshold)
+    if not by_label:
+        claim = claim.filter(F.col("best_label") == F.col("label"))
+    return (det.join(_winners(claim), list(DET_KEY), "left").withColumn("tp", F.coalesce(F.col("tp"), F.lit(0))))
+
+
+def _winners(claim: DataFrame) -> DataFrame:
+    """Of the claimants of each truth, the one with the highest score, lowest ``pred_id`` on ties."""
+    return (claim.groupBy("img_id", "label", "best_box_id")
+                 .agg(F.min(F.struct(F.negative(F.col("score")).alias("__s"), F.col("pred_id"))).alias("__w"))
+                 .select("img_id", "label", F.col("__w.pred_id").alias("pred_id"), F.lit(1).alias("tp")))
 
 
 def match_winners(matched: DataFrame, iou_threshold: float, *, same_label: bool = True) -> DataFrame:
@@ -63,10 +86,7 @@ def match_winners(matched: DataFrame, iou_threshold: float, *, same_label: bool
     claim = matched.filter(F.col("best_iou") > F.lit(float(iou_threshold)))
     if not same_label:
         claim = claim.filter(F.col("best_label") == F.col("label"))
-    win = (claim.groupBy("img_id", "label", "best_box_id")
-                .agg(F.min(F.struct(F.negative(F.col("score")).alias("__s"), F.col("pred_id"))).alias("__w"))
-                .select("img_id", "label", F.col("__w.pred_id").alias("pred_id"), F.lit(1).alias("tp")))
-    return (matched.join(win, list(DET_KEY), "left")
+    return (matched.join(_winners(claim), list(DET_KEY), "left")
                    .withColumn("tp", F.coalesce(F.col("tp"), F.lit(0))))
 
 
@@ -85,8 +105,7 @@ def evaluate_matches(det: DataFrame, truth: DataFrame, iou_threshold: float = 0.
     precision = TP/(pred+1e-6).  ``group_cols`` (present on both tables, e.g. a
     step bucket derived from the image) evaluate several batches at once."""
     g = list(group_cols)
-    m = best_truth(det, truth, by_label=False, variant="eps", min_iou=iou_threshold)
-    flagged = match_winners(m, iou_threshold, same_label=False)
+    flagged = flag_matches(det, truth, iou_threshold, by_label=False, variant="eps")
     tp = flagged.groupBy(*g, "label").agg(F.sum("tp").cast("bigint").alias("n_tp"),
                                           F.count(F.lit(1)).alias("n_pred"))
     nt = truth.groupBy(*g, "label").agg(F.count(F.lit(1)).alias("n_true"))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxframe.operators.match import best_truth, class_counts, match_winners
+from boxframe.operators.match import class_counts, flag_matches
 from boxframe.operators.match import unknown_images as images_without_truth
 from boxframe.operators.ranking import global_rank, suffix_max
 
@@ -29,8 +29,7 @@ ROUND = 9
 def pr_curve(det: DataFrame, truth: DataFrame, iou_threshold: float = 0.5, *,
              rank_strategy: str = "two_pass", npos: DataFrame | None = None) -> DataFrame:
     """One row per detection with ``rank, tp, cum_tp, precision, recall, envelope``."""
-    m = best_truth(det, truth, by_label=True, variant="voc", min_iou=iou_threshold)
-    flagged = match_winners(m, iou_threshold).select("img_id", "pred_id", "label", "score", "tp")
+    flagged = flag_matches(det, truth, iou_threshold, by_label=True, variant="voc").select("img_id", "pred_id", "label", "score", "tp")
     ranked = global_rank(flagged, ["label"], RANK_ORDER, {"cum_tp": F.col("tp")}, strategy=rank_strategy)
     npos = npos if npos is not None else class_counts(truth, name="npos")
     npos = npos.select(F.col("label").alias("__nl"), F.col("npos").alias("npos"))  # fresh ids: joined twice
