@@ -182,7 +182,7 @@ def _verified(pairs: DataFrame, payload: DataFrame, threshold: float) -> DataFra
 def _links(members: DataFrame, payload: DataFrame, threshold: float) -> DataFrame:
     """Similar pairs (a, b) that join different components of a bucket.  ``members`` is (h, node, comp)
     of buckets with several components."""
-    least = least_matches(threshold)
+    least, rows_in_band = least_matches(threshold), band_rows(threshold)
     counts = members.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("c"))
     major = counts.groupBy("h").agg(F.max(F.struct("c", "comp")).alias("m"), F.sum("c").alias("size"))
     rows = members.join(major.select("h", F.col("m.comp").alias("major"), "size"), "h")
@@ -226,6 +226,12 @@ def _links(members: DataFrame, payload: DataFrame, threshold: float) -> DataFram
                 c = root[c]
             return c
 
+        # a pair that also shares an earlier band is compared in that bucket, which holds both components too
+        keys = np.stack([band_keys(x, rows_in_band) for x in sig]).view(np.int64)
+        own = np.flatnonzero((keys == part["h"].iloc[0]).all(0))
+        if len(own):
+            first = ~(keys[ia, : own[0]] == keys[ib, : own[0]]).any(1)
+            ia, ib, matches = ia[first], ib[first], matches[first]
         order = np.argsort(-matches, kind="stable")
         for x, y, ca, cb in zip(ia[order].tolist(), ib[order].tolist(), comp[ia[order]].tolist(), comp[ib[order]].tolist()):
             ra, rb = find(ca), find(cb)
