@@ -1,15 +1,17 @@
 """Quality rules: hashed n-gram log-likelihood ratio, with DataFrame functions only.
 
-Words and word pairs of a text are hashed into ``BUCKETS`` buckets.  Two multinomials over the buckets
-are counted: the trusted target (at most ``MAX_TARGET`` documents labelled good, taken by a hash of
-the id) and the raw corpus (all documents).  A text's score is the sum of log(target / raw) over its
-n-grams, divided by their number.  The cut is learned from all labelled rows through a histogram of
-scores (``BINS`` cells per label): the cell border with the best balanced accuracy.  Every document
-then gets a verdict; nothing is random.
-
-Two passes over the texts and no shuffle of them: the first leaves as counts per bucket, the second as
-one row of numbers per document.  The driver sees the bucket table and the histogram, both of fixed
-size.
+Words and word pairs of a text are hashed into buckets, whose number follows the corpus (``n_buckets``).
+Two multinomials over the buckets are counted: the trusted target (every document labelled good) and the
+raw corpus (all documents).  A text's score is the sum of log(target / raw) over its n-grams, divided by
+their number.  The cut is learned from all labelled rows through a histogram of scores (``BINS`` cells
+per label): the cell border with the best balanced accuracy.  Every document then gets a verdict; nothing
+is random.
+
+The texts are read once for their size, once for the counts per bucket and once for the scores, which are
+summed per document from a join with the table of ratios.  Ids of good documents and ratios are broadcast
+where they fit (``SMALL_IDS``, ``SMALL_TABLE``), so no text is shuffled; beyond that, bucket numbers of the
+documents with an id are shuffled for the target, and n-grams with one row of numbers for the score.  The
+driver sees sums and the histogram.
 
 Defined cases: null text counts as empty; texts without n-grams score 0 (and fail the base rule);
 repeated rows get equal results; null ids are scored but have no label; without labels of both kinds
@@ -22,10 +24,16 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from boxframe.llm.textkit import written
 from boxframe.session import cut_lineage
 
+#: Least number of buckets, and the buckets for the square root of the bytes of text beyond it: distinct
+#: n-grams grow with a power of the corpus (Heaps' law).
 BUCKETS = 1 << 15
-MAX_TARGET = 50_000
+PER_ROOT_BYTE = 16
+#: Good ids and buckets up to which the table is broadcast (a few hundred MB as a hash table).
+SMALL_IDS = 2_000_000
+SMALL_TABLE = 1 << 22
 BINS = 200
 #: Scores outside +-SPAN share the outermost cells.
 SPAN = 2.0
@@ -37,11 +45,18 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 
 
-def _grams() -> Column:
+def n_buckets(docs: DataFrame) -> int:
+    """Number of buckets for these texts: a power of two, without an upper bound."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    want = PER_ROOT_BYTE * math.isqrt(size)
+    return max(BUCKETS, 1 << max(0, want - 1).bit_length())
+
+
+def _grams(buckets: int = BUCKETS) -> Column:
     """Buckets of the words and word pairs of column ``words``."""
     return F.expr(
-        f"concat(transform(words, w -> cast(pmod(xxhash64(w), {BUCKETS}) as int)),"
-        f" slice(transform(words, (w, i) -> cast(pmod(xxhash64(w, get(words, i + 1)), {BUCKETS}) as int)),"
+        f"concat(transform(words, w -> pmod(xxhash64(w), {buckets}L)),"
+        f" slice(transform(words, (w, i) -> pmod(xxhash64(w, get(words, i + 1)), {buckets}L)),"
         " 1, greatest(size(words) - 1, 0)))")
 
 
@@ -68,26 +83,31 @@ def base_rules(docs: DataFrame) -> DataFrame:
         .alias("n_repeat_words"))
 
 
-def target_ids(labels: DataFrame, max_target: int = MAX_TARGET) -> DataFrame:
-    """Ids of at most ``max_target`` documents whose labels all say good."""
-    return (labels.select("doc_id", "quality").dropna().groupBy("doc_id").agg(F.min("quality").alias("q"))
-            .filter("q = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_target).select("doc_id"))
-
-
-def log_ratios(docs: DataFrame, labels: DataFrame, max_target: int = MAX_TARGET) -> list[float]:
-    """log(target / raw) for each bucket, both smoothed by one count."""
-    good = F.broadcast(target_ids(labels, max_target).withColumn("t", F.lit(1)))
-    grams = (docs.select("doc_id", words(F.col("text")).alias("words")).withColumn("g", _grams()).drop("words")
-             .join(good, "doc_id", "left").select("t", F.explode_outer("g").alias("g")))  # outer: no filter that repeats the array
-    rows = grams.groupBy("g").agg(F.count(F.lit(1)).alias("raw"), F.count("t").alias("target")).collect()
-    raw, target = [1.0] * BUCKETS, [1.0] * BUCKETS
-    for r in rows:
-        if r.g is None:  # texts without words
-            continue
-        raw[r.g] += r.raw
-        target[r.g] += r.target
-    a, b = sum(target), sum(raw)
-    return [math.log(t / a) - math.log(r / b) for t, r in zip(target, raw)]
+def target_ids(labels: DataFrame, max_target: int | None = None) -> DataFrame:
+    """Ids of the documents whose labels all say good; of at most ``max_target`` by a hash of the id, if given."""
+    good = labels.select("doc_id", "quality").dropna().groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1")
+    if max_target is not None:
+        good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_target)
+    return good.select("doc_id")
+
+
+def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
+    """(g, ratio): log(target / raw) of each bucket of the corpus, both smoothed by one count."""
+    good = written(target_ids(labels))
+    grams = docs.select("doc_id", words(F.col("text")).alias("words")).withColumn("g", _grams(buckets)).drop("words")
+    one, raw, target = F.lit(1), F.count(F.lit(1)).alias("raw"), F.count("t").alias("target")
+    if good.count() <= SMALL_IDS:
+        marked = grams.join(F.broadcast(good.withColumn("t", one)), "doc_id", "left")
+        counts = marked.select("t", F.explode_outer("g").alias("g")).groupBy("g").agg(raw, target)  # outer: no filter that repeats the array
+    else:  # documents without a label stay where they are
+        everywhere = grams.select(F.explode_outer("g").alias("g")).groupBy("g").agg(raw, F.lit(0).cast("bigint").alias("target"))
+        trusted = (grams.join(good, "doc_id").select(F.explode_outer("g").alias("g")).groupBy("g")
+                   .agg(F.lit(0).cast("bigint").alias("raw"), F.count(one).alias("target")))
+        counts = everywhere.unionByName(trusted).groupBy("g").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    counts = written(counts.filter("g is not null"))  # null: texts without words
+    total = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
+    a, b = float((total.target or 0) + buckets), float((total.raw or 0) + buckets)
+    return counts.select("g", (F.log((F.col("target") + 1) / F.lit(a)) - F.log((F.col("raw") + 1) / F.lit(b))).alias("ratio"))
 
 
 def _cut(scored: DataFrame, labels: DataFrame) -> float:
@@ -113,12 +133,16 @@ def _cut(scored: DataFrame, labels: DataFrame) -> float:
     return at[0] * (2 * SPAN / BINS) - SPAN
 
 
-def apply_rules(docs: DataFrame, labels: DataFrame, max_target: int = MAX_TARGET) -> DataFrame:
+def apply_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, the base columns, base_failed, kept, score) of every document."""
-    table = ",".join(repr(x) for x in log_ratios(docs, labels, max_target))
-    ratios = F.split(F.lit(table), ",").cast("array<double>")  # folded to one array by the optimizer
-    score = F.aggregate("g", F.lit(0.0), lambda a, b: a + F.get(ratios, b)) / F.greatest(F.size("g"), F.lit(1))
-    scored = cut_lineage(base_rules(docs).withColumn("g", _grams()).withColumn("score", score).drop("words", "g"))
+    buckets = n_buckets(docs)
+    ratios = log_ratios(docs, labels, buckets)
+    ratios = F.broadcast(ratios) if buckets <= SMALL_TABLE else ratios
+    # ids may repeat or be null: rows are told apart by their place in the input
+    rows = base_rules(docs).withColumn("g", _grams(buckets)).drop("words").withColumn("row", F.monotonically_increasing_id())
+    own = [c for c in rows.columns if c not in ("g", "row")]
+    scored = cut_lineage(rows.select("row", *own, F.explode_outer("g").alias("g")).join(ratios, "g", "left").groupBy("row", *own)
+                         .agg((F.coalesce(F.sum("ratio"), F.lit(0.0)) / F.greatest(F.count("g"), F.lit(1))).alias("score")).drop("row"))
     cut = _cut(scored, labels)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (scored.withColumn("base_failed", failed)

@@ -110,6 +110,22 @@ def test_rules_plan_has_no_python(spark):
     assert rules.target_ids(labels, 7).count() == 7
 
 
+def test_rules_count_every_good_document(spark, monkeypatch):
+    """No size limit on the target, buckets that follow the corpus, and the same scores without broadcasts."""
+    many = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    assert rules.target_ids(many).count() == 60_000
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(2000)), lambda i: F.md5(i.cast("string"))))
+    assert [rules.n_buckets(spark.range(n).select(text.alias("text"))) for n in (0, 1, 100, 10_000)] == [1 << 15, 1 << 15, 1 << 16, 1 << 19]
+    docs, labels = load(spark, SF_SMALL, "documents"), load(spark, SF_SMALL, "labels")
+    docs = docs.unionByName(docs.limit(3)).unionByName(docs.limit(2).withColumn("doc_id", F.lit(None).cast("bigint")))
+    rows = lambda: sorted((str(r.doc_id), r.n_words, r.kept, round(r.score, 9)) for r in rules.apply_rules(docs, labels).collect())
+    want = rows()
+    assert len(want) == docs.count()
+    monkeypatch.setattr(rules, "SMALL_IDS", 0)
+    monkeypatch.setattr(rules, "SMALL_TABLE", 0)
+    assert rows() == want
+
+
 # --- 3 token ids, 4 token counts
 
 def id_stream(rows):
