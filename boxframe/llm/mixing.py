@@ -2,9 +2,15 @@
 
 Documents fall into cells (source, language, topic); a cell's mass is its number of tokens (words).
 Raking scales the cells to the target share of each source, then each language, then each topic, and
-over again (``SWEEPS`` times).  Documents are then sampled: the probability of a document is its
-cell's calibrated factor over the largest factor, so expected token shares follow the raked table
-without any capped probability.  The draw is a hash of (seed, doc_id).
+over again (``SWEEPS`` times).  The draw is a hash of (seed, doc_id).  There are two ways to sample:
+
+* ``sample_mixed`` (and ``mix_sources``): the probability of a document is its cell's factor over the
+  largest factor, so expected token shares follow the raked table, but the rarest cell sets how much
+  of the corpus stays.
+* ``sample_balanced`` (the pipeline's): the mass-weighted mean of the factors is 1, as raking keeps the
+  whole mass, and a document stays with its cell's factor as probability.  Cells with factors above 1
+  stay whole, once; the share of the target's tokens that they would need as repeats is logged
+  (``unmet_share``).  A rare cell takes from the others no more than its own target.
 
 Texts are read once to make one row of numbers per document; cells are summed map-side, so a hot source
 is a few partial sums.  The raking runs on the cell table, written to the session's checkpoint folder
@@ -19,6 +25,8 @@ empty id; empty tables give empty results."""
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,13 +79,13 @@ def marks(docs: DataFrame) -> DataFrame:
 
 
 def cell_probabilities(rows: DataFrame, temper: dict[str, float] | None = None, sweeps: int = SWEEPS) -> DataFrame:
-    """(source, lang, topic, factor, prob) of the cells of ``rows`` that have tokens."""
+    """(source, lang, topic, mass, factor, prob) of the cells of ``rows`` that have tokens."""
     temper = temper or TEMPER
     cells = written(rows.groupBy(*temper).agg(F.sum("n_tokens").alias("mass")).filter("mass > 0"))
     goals = {d: written(tempered(cells, d, p)) for d, p in temper.items()}
     raked = rake(cells, goals, sweeps).withColumn("factor", F.col("w") / F.col("mass"))
     top = raked.agg(F.max("factor")).first()[0] or 1.0
-    return written(raked.select(*temper, "factor", (F.col("factor") / F.lit(top)).alias("prob")))
+    return written(raked.select(*temper, "mass", "factor", (F.col("factor") / F.lit(top)).alias("prob")))
 
 
 def mix_sources(docs: DataFrame, temper: dict[str, float] | None = None, sweeps: int = SWEEPS, seed: str = SEED) -> DataFrame:
@@ -93,15 +101,34 @@ def mix_sources(docs: DataFrame, temper: dict[str, float] | None = None, sweeps:
                     (draw(F.col("doc_id"), seed) < prob).alias("kept")))
 
 
-def sample_mixed(docs: DataFrame, temper: dict[str, float] | None = None, sweeps: int = SWEEPS, seed: str = SEED) -> DataFrame:
-    """The sampled documents with all their columns."""
-    temper = temper or TEMPER
-    cells = cell_probabilities(marks(docs), temper, sweeps)
+def unmet_share(cells: DataFrame) -> float:
+    """Share of the target's tokens that documents kept once do not give: factors above 1 ask for repeats."""
+    r = cells.agg(F.sum(F.col("mass") * F.greatest(F.col("factor") - 1, F.lit(0.0))).alias("over"),
+                  F.sum(F.col("mass") * F.col("factor")).alias("all")).first()
+    return (r["over"] or 0.0) / (r["all"] or 1.0)
+
+
+def _sampled(docs: DataFrame, cells: DataFrame, prob: Column, dims: list[str], seed: str) -> DataFrame:
+    """The documents whose draw is under ``prob`` of their cell."""
     key = {"source": F.coalesce(F.col("source").cast("string"), F.lit("?")),
            "lang": F.coalesce(F.col("lang").cast("string"), F.lit("?")),
            "topic": topic_of(F.col("text")).cast("string")}
     own = docs.columns
-    d = docs.withColumns({f"__mix_{c}": key[c] for c in temper})
-    cells = cells.select(*(F.col(c).alias(f"__mix_{c}") for c in temper), F.col("prob").alias("__mix_prob"))
-    return (d.join(cells, [f"__mix_{c}" for c in temper], "left")
+    d = docs.withColumns({f"__mix_{c}": key[c] for c in dims})
+    cells = cells.select(*(F.col(c).alias(f"__mix_{c}") for c in dims), prob.alias("__mix_prob"))
+    return (d.join(cells, [f"__mix_{c}" for c in dims], "left")
             .filter(draw(F.col("doc_id"), seed) < F.coalesce("__mix_prob", F.lit(1.0))).select(*own))
+
+
+def sample_mixed(docs: DataFrame, temper: dict[str, float] | None = None, sweeps: int = SWEEPS, seed: str = SEED) -> DataFrame:
+    """The sampled documents with all their columns; ``mix_sources`` keeps the same ones."""
+    temper = temper or TEMPER
+    return _sampled(docs, cell_probabilities(marks(docs), temper, sweeps), F.col("prob"), list(temper), seed)
+
+
+def sample_balanced(docs: DataFrame, temper: dict[str, float] | None = None, sweeps: int = SWEEPS, seed: str = SEED) -> DataFrame:
+    """The documents with all their columns, sampled by min(1, factor), each once."""
+    temper = temper or TEMPER
+    cells = cell_probabilities(marks(docs), temper, sweeps)
+    logging.getLogger(__name__).warning("mixing: %.2f %% of the target's tokens unmet, as no document is repeated", 100 * unmet_share(cells))
+    return _sampled(docs, cells, F.least("factor", F.lit(1.0)), list(temper), seed)

@@ -27,8 +27,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled by raked source, language and topic weights."""
-    return mixing.sample_mixed(docs)
+    """Documents sampled by raked source, language and topic weights; those of cells under target stay, once."""
+    return mixing.sample_balanced(docs)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -219,6 +219,19 @@ def test_mixing_matches_its_sql(spark, duck):
         assert g[0] == w[0] and g[3] == w[3] and g[1:3] == pytest.approx(w[1:3])
 
 
+def test_pipeline_mixing_stands_one_odd_source(spark):
+    """One row of a null source does not thin out the others."""
+    import corpus_pipeline
+    docs = load(spark, "/root/testdata/sf0.01", "documents")
+    odd = spark.createDataFrame([(-1, "odd " * 20, "en", None, 80)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    plain, mixed = ([r.doc_id for r in corpus_pipeline.mixing_stage(spark, d, "").collect()] for d in (docs, docs.unionByName(odd.select(*docs.columns))))
+    assert -1 in mixed and len(set(mixed)) == len(mixed)
+    assert len(plain) > 0.6 * docs.count() and len(mixed) > 0.95 * len(plain)
+    cells = mixing.cell_probabilities(mixing.marks(docs)).collect()
+    want = sum(r.mass * max(0, r.factor - 1) for r in cells) / sum(r.mass for r in cells)
+    assert 0 < want < 0.4 and mixing.unmet_share(mixing.cell_probabilities(mixing.marks(docs))) == pytest.approx(want)
+
+
 # --- 6 decontamination
 
 def test_decontamination_brute_force(spark, odd_docs, odd_rows, no_docs):
