@@ -6,11 +6,12 @@
    a host with a third of all pages is a few partial sums.
 2. Tokens of a host with equal vectors are an equivalence class.  A class is valid if it is large enough
    and on at least ``SUPPORT`` of the host's pages, and its tokens occur once on each of those.  The
-   valid classes, nested by the paths of their tags, are the host's template.  Hosts of too few pages
-   use the template of all pages.
+   tokens of the valid classes are the host's template, as one set.  Hosts of too few pages use the
+   template of all pages.
 3. Slots are what lies between template tokens.  A slot holds main text unless the path there leads
    through page furniture (by element, or by the words of class and id); if the template has an article
-   or main element, only slots inside it do.  Text of the template itself (the same on most pages) is
+   or main element, only slots inside it do.  The words of class and id say nothing about html, body,
+   article and main, nor about an element around blocks that hold most of the page's text.  Text of the template itself (the same on most pages) is
    furniture outside such an element.
 
 The templates are a small table keyed by host; the join leaves broadcasting to its measured size, and
@@ -27,6 +28,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -47,6 +49,8 @@ RAW = frozenset("script style textarea title noscript template iframe noembed no
 FURNITURE = frozenset("nav header footer aside form script style noscript template iframe button select option textarea head title "
                       "menu dialog svg canvas object noembed noframes xmp input label".split())
 _MAIN = frozenset(("article", "main"))
+#: Elements whose class and id do not make them furniture.
+_FRAME = _MAIN | {"html", "body"}
 _NAMES = re.compile(r"(?:^|[^a-z])(?:ad|ads|advert\w*|banner\w*|breadcrumb\w*|comment\w*|cookie\w*|consent|disqus|footer|header|"
                     r"menu\w*|modal|nav\w*|newsletter|notice\w*|popup|promo\w*|related|repl(?:y|ies)|share|sharing|sidebar\w*|social|"
                     r"sponsor\w*|subscribe|toolbar|widget\w*)(?:$|[^a-z])")
@@ -58,9 +62,17 @@ _CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "
 
 
 def events(page: str) -> Iterator[tuple[str, str, list]]:
-    """("open" | "close" | "text", name or text, stack of (tag, label)) in page order; the stack is the one
-    around a text, and with the element for its own tags."""
-    stack: list[tuple[str, str]] = []
+    """("open" | "close" | "text", name or text, stack of (tag, label, number)) in page order; the stack is
+    the one around a text, and with the element for its own tags.  Elements are numbered as they open;
+    those that another tag closes have a close event, too."""
+    stack: list[tuple[str, str, int]] = []
+    count = 0
+
+    def close(depth: int) -> Iterator[tuple[str, str, list]]:
+        while len(stack) > depth:
+            yield "close", stack[-1][0], stack
+            stack.pop()
+
     at = 0
     size = len(page)
     while at < size:
@@ -77,20 +89,19 @@ def events(page: str) -> Iterator[tuple[str, str, list]]:
         if m[1]:
             deep = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if deep is not None:
-                del stack[deep + 1:]
-                yield "close", tag, stack
-                stack.pop()
+                yield from close(deep)
             continue
         if tag in BLOCK or tag in _CLOSES:
             group = _CLOSES.get(tag, ("p",))
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] in group or stack[i][0] == "p" and tag in BLOCK:
-                    del stack[i:]
+                    yield from close(i)
                     break
                 if stack[i][0] in BLOCK:
                     break
         label = " ".join(sorted((a[1] or a[2] or a[3] or "").lower() for a in ((x[0], x[1], x[2], x[3]) for x in _ATTRIBUTE.findall(m[3] or ""))))
-        stack.append((tag, label))
+        stack.append((tag, label, count))
+        count += 1
         yield "open", tag, stack
         if tag in VOID or (m[3] or "").endswith("/"):
             stack.pop()
@@ -105,7 +116,7 @@ def events(page: str) -> Iterator[tuple[str, str, list]]:
 
 
 def _path(stack: list) -> str:
-    return "/".join(f"{t}.{c}" if c else t for t, c in stack)
+    return "/".join(f"{t}.{c}" if c else t for t, c, _ in stack)
 
 
 def token_id(kind: str, name: str) -> int:
@@ -128,18 +139,39 @@ def page_tokens(page: str) -> Iterator[tuple[int, str]]:
             yield token_id(kind, path), path
 
 
-def _is_furniture(stack: list) -> bool:
-    return any(t in FURNITURE or c and _NAMES.search(c) for t, c in stack)
+@lru_cache(maxsize=1 << 16)
+def _named(label: str) -> bool:
+    return bool(label) and _NAMES.search(label) is not None
+
+
+def _wrappers(page: str) -> set[int]:
+    """Numbers of the elements named like furniture that are none: blocks in them hold most of the text."""
+    total, amount, around = 0, Counter(), set()
+    for kind, name, stack in events(page):
+        if kind == "open" and name in BLOCK:
+            around.update(n for _, c, n in stack[:-1] if _named(c))
+        elif kind == "text" and not any(t in FURNITURE for t, _, _ in stack):
+            size = len(name.strip())
+            total += size
+            for _, c, n in stack:
+                if _named(c):
+                    amount[n] += size
+    return {n for n in around if 2 * amount[n] > total}
+
+
+def _is_furniture(stack: list, wrappers: set[int]) -> bool:
+    return any(t in FURNITURE or _named(c) and t not in _FRAME and n not in wrappers for t, c, n in stack)
 
 
 def _in_main(stack: list) -> bool:
-    return any(t in _MAIN for t, _ in stack)
+    return any(t in _MAIN for t, _, _ in stack)
 
 
 def extract(page: str | None, template: frozenset[int], has_main: bool) -> str:
     """Main text of a page: the blocks in its content slots."""
     if not page:
         return ""
+    wrappers = _wrappers(page)
 
     def read(use_slots: bool) -> list[str]:
         blocks: list[str] = []
@@ -156,7 +188,7 @@ def extract(page: str | None, template: frozenset[int], has_main: bool) -> str:
         for kind, name, stack in events(page):
             inside = stack if kind != "close" else stack[:-1]
             if kind == "text":
-                if stack and content and (not main or _in_main(stack)) and not _is_furniture(stack):
+                if stack and content and (not main or _in_main(stack)) and not _is_furniture(stack, wrappers):
                     if use_slots and not _in_main(stack) and token_id("text", _path(stack) + "\n" + squeeze(name)) in template:
                         continue
                     run.append(name)
@@ -167,7 +199,7 @@ def extract(page: str | None, template: frozenset[int], has_main: bool) -> str:
                 run.append(" ")
             if use_slots and token_id(kind, _path(stack)) in template:
                 # a template token opens the next slot; the path there says whether it holds main text
-                content = (not main or _in_main(inside)) and not _is_furniture(inside)
+                content = (not main or _in_main(inside)) and not _is_furniture(inside, wrappers)
         flush()
         return blocks
 

@@ -340,6 +340,21 @@ def test_pages_table(spark):
         assert r.text == "\n".join(x for x in blocks if x)
 
 
+def test_pages_named_wrappers_and_implicit_closes():
+    """Class names of the page's frame and of wrappers do not empty it; an implied end tag ends an ad."""
+    body = "<p>First long line of the story<p>Second long line of the story"
+    want = "First long line of the story\nSecond long line of the story"
+    nothing = frozenset()
+    for page in (f'<body class="has-sidebar"><div>{body}</div></body>', f'<body><article class="post comments-open">{body}</article></body>',
+                 f'<body><div class="with-nav"><div class="nav">Home</div>{body}</div></body>', f'<main id="social">{body}</main>'):
+        assert pagetext.extract(page, nothing, False) == want
+    assert pagetext.extract(f'<body><div class="comments"><p>me too</div>{body}</body>', nothing, False) == want
+    page = f'<body><p class="ad">Buy{body}</body>'
+    assert [n for k, n, _ in pagetext.events(page) if k == "close"] == ["p", "p", "p", "body"]
+    ad = [t for t, n in pagetext.page_tokens(page) if n == "body/p.ad"]
+    assert len(ad) == 2 and pagetext.extract(page, frozenset(ad), False) == want
+
+
 # --- 9 toxicity
 
 def test_toxicity(spark, odd_docs, odd_rows, no_docs):
