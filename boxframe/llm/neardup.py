@@ -103,7 +103,8 @@ def band_keys(sig: np.ndarray, rows: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, k: int, threshold: float) -> DataFrame:
-    """(doc_id, n_shingles, node, bands) of every document; node and bands are null without words."""
+    """(doc_id, n_shingles, node, bands, v) of every document; node and bands are null without words, v is
+    a hash of the text."""
     rows = band_rows(threshold)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -116,28 +117,33 @@ def fingerprints(docs: DataFrame, k: int, threshold: float) -> DataFrame:
                 else:
                     out.append((doc, 0, None, None))
             yield pd.DataFrame({"doc_id": pd.array([r[0] for r in out], "Int64"), "n_shingles": [r[1] for r in out],
-                                "node": [r[2] for r in out], "bands": [r[3] for r in out]})
+                                "node": [r[2] for r in out], "bands": [r[3] for r in out], "v": b["v"].to_numpy()})
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary").alias("text")).mapInPandas(
-        run, "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>")
+    return (docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary").alias("text")).withColumn("v", F.xxhash64("text"))
+            .mapInPandas(run, "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>, v bigint"))
+
+
+def chosen_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, v, text) of the rows that ``nodes`` (node, rep, v) name by id and text hash: one for each
+    node, besides repeated rows, also when many texts share an id or have none."""
+    pick = nodes.select("node", F.col("rep").alias("__rep"), F.col("v").alias("__v"))
+    return (docs.select("doc_id", F.col("text").cast("binary").alias("text")).withColumn("v", F.xxhash64("text"))
+            .join(pick, F.col("doc_id").eqNullSafe(F.col("__rep")) & (F.col("v") == F.col("__v"))).select("node", "v", "text"))
 
 
 def _payload(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """(node, sig, items) of ``nodes`` (node, rep), from the text of the document ``rep``."""
+    """(node, sig, items) of ``nodes`` (node, rep, v), from the texts they name."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for node, words in zip(b["node"], word_hashes(as_bytes(b["text"], lower=True))):
                 s = shingle_set(words, k)
-                if len(s) and set_key(s) == bytes(node):  # ids may repeat with other texts
+                if len(s) and set_key(s) == bytes(node):  # another text may have the same hash
                     out.append((node, signature(s).tobytes(), s.tobytes()))
             yield pd.DataFrame(out, columns=["node", "sig", "items"])
 
-    pick = nodes.select("node", F.col("rep").alias("__rep"))
-    return (docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-            .join(pick, F.col("doc_id").eqNullSafe(F.col("__rep")))
-            .groupBy("node", F.xxhash64("text").alias("v")).agg(F.any_value("text").alias("text"))  # repeated rows once
+    return (chosen_texts(docs, nodes).groupBy("node", "v").agg(F.any_value("text").alias("text"))  # repeated rows once
             .select("node", "text").mapInPandas(run, "node binary, sig binary, items binary"))
 
 
@@ -272,7 +278,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8) -> Data
     members = cut_lineage(banded.join(buckets, "h"))
     weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
     hubs = members.join(weight, "node").groupBy("h").agg(F.max(F.struct("weight", "node")).alias("hub"))
-    light = marks.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    # v belongs to a row of the id rep (null if none has an id)
+    light = marks.filter("node is not null").groupBy("node").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.coalesce(F.min_by("v", "doc_id"), F.min("v")).alias("v"))
     payload = cut_lineage(_payload(docs, members.select("node").distinct().join(light, "node"), k))
 
     best = members.select("h", "node").join(hubs, "h").groupBy("node").agg(F.max("hub").alias("hub"))

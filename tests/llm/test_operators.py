@@ -414,6 +414,17 @@ def test_near_duplicates_table(spark):
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == classes(rows, 3, 0.85)
 
 
+def test_near_duplicates_of_one_id(spark):
+    """Many texts under one id or without id: each node meets its own text only."""
+    rows = [(None if i % 3 else 7, " ".join(f"w{(i % 20) * 100 + j}" for j in range(40)) + f" end{i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marks = neardup.fingerprints(df, 3, 0.85).collect()
+    nodes = spark.createDataFrame([(r.node, r.doc_id, r.v) for r in marks], "node binary, rep bigint, v bigint")
+    assert neardup.chosen_texts(df, nodes).count() == len({r.node for r in marks}) == 60
+    got = neardup.near_duplicates(df, 3, 0.85).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == classes(rows, 3, 0.85)
+
+
 def test_near_duplicates_in_blocks(spark, monkeypatch):
     """Chains of near copies in one bucket of many blocks."""
     import random
