@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxframe.llm import (chat, decontam, mixing, mixing_sql, neardup, pagetext, phrases, phrases_sql, quality, rules,
-                          tokencount, tokenids, toxicity)
+from boxframe.llm import (chat, decontam, langid, lexical, lexical_sql, mixing, mixing_sql, neardup, pagetext, phrases,
+                          phrases_sql, quality, rules, tokencount, tokenids, toxicity)
 from boxframe.llm.textkit import load
 
 
@@ -71,6 +71,16 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id", "kept"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item, ranked among all documents."""
+    return lexical.rank_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; rows with crc32(doc_id) mod 3 = 1 are held out."""
+    return langid.predict_languages(load(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2,000 phrases of two and three words of each language."""
     return phrases.collocations(load(spark, sf_dir, "documents"))
@@ -79,9 +89,11 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_classifier, op2_quality_rules, op3_token_ids, op4_token_counts, op5_mixing, op6_decontamination,
-        op7_chat_format, op8_html_extraction, op9_toxicity, op10_near_duplicates, op13_collocations)
+        op7_chat_format, op8_html_extraction, op9_toxicity, op10_near_duplicates, op11_ranked_search,
+        op12_language_id, op13_collocations)
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_mixing": mixing_sql.oracle(mixing.TOPICS, mixing.SWEEPS, mixing.TEMPER, mixing.SEED),
+    "op11_ranked_search": lexical_sql.oracle(lexical.TOP),
     "op13_collocations": phrases_sql.oracle(phrases.MIN_COUNT, phrases.INSIDE, phrases.TOP),
 }
