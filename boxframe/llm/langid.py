@@ -1,8 +1,8 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF of character n-grams.
 
 Letters are lower-cased, every run of other characters becomes one space, and n-grams of one to ``MAX_N`` characters
-are hashed into ``DIMS`` dimensions.  A document's vector is term frequency (share of its n-grams) times inverse
-document frequency.  Weights are learned by follow-the-regularised-leader with L1 and L2 penalties (proximal, one
+are hashed into ``DIMS`` dimensions.  A document's vector is term frequency times inverse document frequency, scaled
+to length one.  Weights are learned by follow-the-regularised-leader with L1 and L2 penalties (proximal, one
 document at a time), so most stay exactly zero; then one temperature is fitted to learnable documents that
 were kept out of the descent, and the score is the calibrated probability of the predicted language.
 
@@ -36,7 +36,7 @@ DIMS = 1 << 17
 MAX_N = 3
 PIECE = 1 << 20
 #: Descent: step size, its damping, penalties, passes.
-ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 1e-4, 1e-5, 2
+ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.05, 0.01, 3
 #: Every so-many-th chosen document fits the temperature instead of the weights.
 CALIBRATE = 5
 UNKNOWN = "und"
@@ -84,13 +84,21 @@ def pieces(text: str) -> Iterator[np.ndarray]:
 
 def counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """(dimensions, frequencies) of a text's n-grams; empty without letters."""
-    held: list[np.ndarray] = []
+    total = None
     for p in pieces(text or ""):
-        held.extend(_ngrams(p))
-    if not held:
+        for dims in _ngrams(p):
+            n = np.bincount(dims, minlength=DIMS)
+            total = n if total is None else total + n
+    if total is None:
         return np.zeros(0, np.int32), np.zeros(0)
-    dims, n = np.unique(np.concatenate(held), return_counts=True)
-    return dims.astype(np.int32), n / n.sum()
+    dims = np.flatnonzero(total)
+    return dims.astype(np.int32), total[dims].astype(float)
+
+
+def unit(dims: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Vector of a document at its dimensions."""
+    x = tf * idf[dims]
+    return x / np.sqrt(x @ x)
 
 
 def learnable(docs: DataFrame) -> DataFrame:
@@ -129,8 +137,9 @@ def training_rows(docs: DataFrame, max_train: int, per_lang: int) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = [counts(t) for t in b["text"]]
-            yield pd.DataFrame({"lang": b["lang"], "turn": b["turn"], "dims": [d.tobytes() for d, _ in found],
-                                "tf": [v.astype(np.float32).tobytes() for _, v in found]})[[len(d) > 0 for d, _ in found]]
+            out = pd.DataFrame({"lang": b["lang"], "turn": b["turn"], "dims": [d.tobytes() for d, _ in found],
+                                "tf": [v.astype(np.float32).tobytes() for _, v in found]})
+            yield out[out["dims"].str.len() > 0]
 
     rows = learnable(docs).select("doc_id", "lang", "text").join(
         F.broadcast(chosen.withColumnRenamed("text", "code")),  # at most max_train rows of three numbers
@@ -144,22 +153,16 @@ class Model:
 
     def __init__(self, langs: list[str], weights: np.ndarray, bias: np.ndarray, idf: np.ndarray, temperature: float = 1.0):
         rows = np.flatnonzero((weights != 0).any(axis=1))
-        self.langs, self.bias, self.temperature = langs, bias, temperature
+        self.langs, self.bias, self.idf, self.temperature = langs, bias, idf, temperature
         self.place = np.zeros(len(weights), np.int32)  # 0: no weights
         self.place[rows] = np.arange(1, len(rows) + 1)
         self.table = np.zeros((len(rows) + 1, len(langs)))
-        self.table[1:] = weights[rows] * idf[rows, None]
+        self.table[1:] = weights[rows]
 
     def logits(self, text: str | None) -> np.ndarray | None:
         """Log odds of each language, None without letters."""
-        total, n = np.zeros(len(self.langs)), 0
-        for p in pieces(text or ""):
-            for dims in _ngrams(p):
-                at = np.bincount(self.place[dims], minlength=len(self.table))
-                hit = np.flatnonzero(at)
-                total += at[hit] @ self.table[hit]
-                n += len(dims)
-        return total / n + self.bias if n else None
+        dims, tf = counts(text)
+        return unit(dims, tf, self.idf) @ self.table[self.place[dims]] + self.bias if len(dims) else None
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -183,7 +186,7 @@ def follow_leader(rows, langs: list[str], idf: np.ndarray, epochs: int = EPOCHS)
     for _ in range(epochs):
         for lang, dims, tf in rows():
             at = np.append(dims, shape[0] - 1)
-            x = np.append(tf * idf[dims], 1.0)
+            x = np.append(unit(dims, tf, idf), 1.0)
             w = weights(at)
             g = softmax(x @ w)
             g[place[lang]] -= 1.0
@@ -224,7 +227,7 @@ def fit_languages(docs: DataFrame, max_train: int = MAX_TRAIN, per_lang: int = M
     weights, bias = follow_leader(lambda: rows(False), langs, idf)
     logits, truth = [], []
     for lang, dims, tf in rows(True):
-        logits.append((tf * idf[dims]) @ weights[dims] + bias)
+        logits.append(unit(dims, tf, idf) @ weights[dims] + bias)
         truth.append(langs.index(lang))
     return Model(langs, weights, bias, idf, fit_temperature(np.array(logits).reshape(-1, len(langs)), np.array(truth, int)))
 
