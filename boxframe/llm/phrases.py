@@ -4,10 +4,10 @@ Each word starts one window: itself and the next two words of its piece (the lea
 at the end of a piece.  Only these longest windows are counted; Spark's ROLLUP over (lang, w1, w2, w3) sums
 them to the counts of pairs, of words and of the language, so shorter n-grams are never exploded.
 
-A phrase counts from ``MIN_COUNT`` occurrences on, and so do all its parts.  A continuation that cannot be part
-of such a phrase is therefore padded as well: a first pass hashes word pairs into cells and keeps one bit a cell,
-set if the cell was met ``MIN_COUNT`` times or more.  A frequent pair always has its bit, so no count that
-matters changes; other pairs that share its cell only make more windows than needed.  The bits follow the bytes
+A phrase counts from ``MIN_COUNT`` occurrences on, and so do all its parts.  Words and continuations that cannot
+be part of such a phrase are therefore padded as well: a first pass hashes words and word pairs into cells and
+keeps one bit a cell, set if the cell was met ``MIN_COUNT`` times or more.  What is frequent always has its bit, so
+no count that matters changes; rare ones that share its cell only make more windows than needed.  The bits follow the bytes
 of text (``BYTES_A_CELL``) up to ``MAX_BITS``; fewer bits mean more windows, never other results.
 
 Windows are made by numpy in Arrow batches, added up within a task first and then by Spark, whose rows hold
@@ -38,11 +38,12 @@ INSIDE = 50
 TOP = 2000
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 #: One cell for so many bytes of text, so that cells of rare pairs stay under MIN_COUNT.
-BYTES_A_CELL = 32
+BYTES_A_CELL = 16
 #: 128 MB as a bitmap, held once by the driver and by each Python worker.
 MIN_BITS, MAX_BITS = 16, 30
-#: Windows that a task adds up at once.
-FLUSH = 1 << 21
+#: Bytes of text whose windows a task adds up at once, and cells.
+GROUP = 1 << 23
+FLUSH = 1 << 22
 CELL_ROWS = 1 << 16
 _U = np.uint64
 _KIND = np.zeros(256, np.uint8)
@@ -86,10 +87,11 @@ def tokenise(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
         np.cumsum(BYTE_VALUES[buf] * _power(BASE, len(buf)), out=sums[1:])
         h = mix((sums[end] - sums[start]) * _power(BASE_INV, len(buf) + 1)[start] + (end - start).astype(np.uint64))
         where = np.flatnonzero(kind == 2)
-        parts.append((start + lo, end + lo, h, np.searchsorted(where, start) + seps))
+        place = np.int64 if len(raw) >> 31 else np.int32
+        parts.append(((start + lo).astype(place), (end + lo).astype(place), h, (np.searchsorted(where, start) + seps).astype(place)))
         seps += len(where)
     if not parts:
-        none = np.zeros(0, np.int64)
+        none = np.zeros(0, np.int32)
         return none, none, np.zeros(0, np.uint64), none
     return tuple(np.concatenate(p) for p in zip(*parts))  # type: ignore[return-value]
 
@@ -103,17 +105,17 @@ class _Words:
         self.raw = b"\n".join(texts)  # a separator: no piece goes over two texts
         self.start, self.end, self.h, piece = tokenise(self.raw)
         ends = np.cumsum([len(t) + 1 for t in texts])
-        self.lang = np.array([code[x] for x in langs], np.int64)[np.searchsorted(ends, self.start, side="right")]
+        self.lang = np.array([code[x] for x in langs], np.int32)[np.searchsorted(ends, self.start, side="right")]
         self.next1 = np.zeros(len(self.h), bool)
         self.next2 = np.zeros(len(self.h), bool)
         self.next1[:-1] = piece[1:] == piece[:-1]
         self.next2[:-2] = piece[2:] == piece[:-2]
 
-    def pair_cells(self, bits: int) -> np.ndarray:
-        """Cell of the pair that starts at each word but the last."""
+    def cells(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Cells of the words, and of the pair that starts at each word but the last."""
         seed = np.array([tokenise(b"x" + n.encode("utf-8", "surrogatepass").hex().encode())[2][0] for n in self.names], np.uint64)
-        key = mix(mix(seed[self.lang[:-1]] + self.h[:-1]) * BASE + self.h[1:])
-        return key >> _U(64 - bits)
+        word = mix(seed[self.lang] + self.h)
+        return word >> _U(64 - bits), mix(word[:-1] * BASE + self.h[1:]) >> _U(64 - bits)
 
 
 def _groups(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[_Words]:
@@ -144,8 +146,8 @@ def cell_bits(docs: DataFrame) -> int:
     return min(MAX_BITS, max(MIN_BITS, (size // BYTES_A_CELL).bit_length()))
 
 
-def frequent_pairs(docs: DataFrame, bits: int, min_count: int = MIN_COUNT) -> np.ndarray:
-    """One bit for each of 2**bits cells of word pairs: whether they were met ``min_count`` times together.
+def frequent_cells(docs: DataFrame, bits: int, min_count: int = MIN_COUNT) -> np.ndarray:
+    """One bit for each of 2**bits cells of words and word pairs: whether they were met ``min_count`` times together.
 
     Tasks send the cells they met, 65,536 neighbours a row; rows of the same neighbours are added up in two
     steps, so a group holds a bounded number of them.  The driver gets the bits alone."""
@@ -168,11 +170,10 @@ def frequent_pairs(docs: DataFrame, bits: int, min_count: int = MIN_COUNT) -> np
 
         size = 0
         for words in _groups(batches, SEGMENT):
-            if len(words.h) > 1:
-                cells = words.pair_cells(bits)[words.next1[:-1]]
-                held.append(cells)
-                size += len(cells)
-            if size > 2 * FLUSH:
+            word, pair = words.cells(bits)
+            held += [word, pair[words.next1[:-1]]]
+            size += len(held[-2]) + len(held[-1])
+            if size > FLUSH:
                 yield from flush()
                 held, size = [], 0
         if size:
@@ -205,7 +206,7 @@ def _strings(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
     """String array of the slices of ``raw``."""
     offsets = np.zeros(len(start) + 1, np.int32)
     np.cumsum(size, out=offsets[1:])
-    index = np.repeat(start - offsets[:-1], size) + np.arange(offsets[-1])
+    index = np.repeat(start.astype(np.int64) - offsets[:-1], size) + np.arange(offsets[-1])
     return pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw[index].tobytes()))
 
 
@@ -213,30 +214,34 @@ def windows(docs: DataFrame, bits: int, frequent: np.ndarray) -> DataFrame:
     """(lang, w1, w2, w3, n): padded longest windows of each task's texts with their number there."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
+    def often(cell: np.ndarray) -> np.ndarray:
+        return (shared.value[(cell >> _U(3)).astype(np.int64)] >> (7 - (cell & _U(7))).astype(np.uint8) & 1).astype(bool)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bit = shared.value
-        for words in _groups(batches, 8 * FLUSH):
+        for words in _groups(batches, GROUP):
             n = len(words.h)
             if not n:
                 continue
-            two = words.next1.copy()
-            if n > 1:
-                cell = words.pair_cells(bits)
-                two[:-1] &= (bit[(cell >> _U(3)).astype(np.int64)] >> (7 - (cell & _U(7))).astype(np.uint8) & 1).astype(bool)
+            word, pair = words.cells(bits)
+            one = often(word)
+            two = words.next1 & one
+            two[:-1] &= one[1:] & often(pair)
+            del word, pair
             three = two & words.next2
             three[:-1] &= two[1:]
             zero = _U(0)
-            h2 = np.where(two, np.append(words.h[1:], zero), zero)
-            h3 = np.where(three, np.append(words.h[2:], [zero, zero])[:n], zero)
-            key = mix(mix(mix(words.lang.astype(np.uint64) + words.h) * BASE + h2) * BASE + h3)
+            key = mix(words.lang.astype(np.uint64) + np.where(one, words.h, zero)) * BASE
+            key[:-1] += np.where(two[:-1], words.h[1:], zero)
+            key = mix(key) * BASE
+            key[:-2] += np.where(three[:-2], words.h[2:], zero)
             _, at, many = np.unique(key, return_index=True, return_counts=True)
             raw = np.frombuffer(words.raw, np.uint8)
             size = words.end - words.start
             names = pa.array(words.names, pa.string())
             for k in range(0, len(at), 1 << 16):
                 i = at[k: k + (1 << 16)]
-                cols = [names.take(pa.array(words.lang[i])), _strings(raw, words.start[i], size[i])]
-                for step, kept in ((1, two), (2, three)):
+                cols = [names.take(pa.array(words.lang[i]))]
+                for step, kept in ((0, one), (1, two), (2, three)):
                     j = np.minimum(i + step, n - 1)
                     cols.append(_strings(raw, words.start[j], np.where(kept[i], size[j], 0)))
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(many[k: k + (1 << 16)].astype(np.int64))], names=["lang", "w1", "w2", "w3", "n"])
@@ -247,14 +252,14 @@ def windows(docs: DataFrame, bits: int, frequent: np.ndarray) -> DataFrame:
 def ngram_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """(lang, w1, w2, w3, n) of the words, pairs and triples met ``min_count`` times or more (absent words are
     ''), and of each language as a whole (all three '')."""
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     bits = cell_bits(docs)
-    top = windows(docs, bits, frequent_pairs(docs, bits, min_count)).groupBy("lang", "w1", "w2", "w3").agg(F.sum("n").alias("n"))
-    rolled = top.rollup("lang", "w1", "w2", "w3").agg(F.grouping_id().alias("level"), F.sum("n").alias("n"))
-    level, often = F.col("level"), F.col("n") >= min_count
-    keep = ((level == 7) | ((level == 3) & often) | ((level == 1) & (F.col("w2") != "") & often)
-            | ((level == 0) & (F.col("w3") != "") & often))
-    return rolled.filter(keep).select("lang", *[F.coalesce(c, F.lit("")).alias(c) for c in ("w1", "w2", "w3")], "n")
+    rolled = spark.sql("""SELECT lang, w1, w2, w3, grouping_id() AS level, sum(n) AS n
+                          FROM {top} GROUP BY lang, ROLLUP (w1, w2, w3)""", top=windows(docs, bits, frequent_cells(docs, bits, min_count)))
+    last, often = F.expr("CASE level WHEN 0 THEN w3 WHEN 1 THEN w2 WHEN 3 THEN w1 END"), F.col("n") >= min_count
+    return (rolled.filter((F.col("level") == 7) | (last != "") & often)
+            .select("lang", *[F.coalesce(c, F.lit("")).alias(c) for c in ("w1", "w2", "w3")], "n"))
 
 
 def _score(a: Column, left: Column, right: Column) -> Column:

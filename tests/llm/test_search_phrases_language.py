@@ -139,6 +139,7 @@ def test_phrases_with_few_cells_pieces_and_separators(spark, monkeypatch):
     rows = [(t, rng.choice(["en", None, "und"])) for t in texts] + [(texts[0], "en")] * 30
     monkeypatch.setattr(phrases, "SEGMENT", 256)
     monkeypatch.setattr(phrases, "FLUSH", 64)
+    monkeypatch.setattr(phrases, "GROUP", 700)
     frame = rows_to_docs(spark, [(k, t, lang, "s") for k, (t, lang) in enumerate(rows)])
     assert found_phrases(frame) == brute_phrases(rows, 10)
 
