@@ -131,7 +131,9 @@ def training_rows(docs: DataFrame, max_train: int, per_lang: int) -> DataFrame:
     """(lang, x) of the chosen documents in a fixed random order; ``x`` holds their dimensions and frequencies."""
     order = [F.xxhash64("doc_id", "text"), F.col("doc_id"), F.col("text")]
     short = learnable(docs).select("doc_id", F.col("lang"), F.xxhash64("text").alias("text"))
-    ranked = short.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("k") <= per_lang)
+    ranked = short.withColumn("part", F.pmod(F.xxhash64("text", "doc_id"), F.lit(64)))  # no task ranks a whole language
+    for by in (["lang", "part"], ["lang"]):
+        ranked = ranked.withColumn("k", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("k") <= per_lang)
     chosen = ranked.orderBy(*order, "lang").limit(max_train).select("doc_id", "lang", "text").distinct()
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
