@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxframe.functions.boxes import COORDS, iou
-from boxframe.operators.spatial import PAD_FOR_VARIANT, overlap_join
+from boxframe.operators.spatial import CELL, PAD_FOR_VARIANT, overlap_join
 
 DET_KEY = ("img_id", "label", "pred_id")
 
 
 def best_truth(det: DataFrame, truth: DataFrame, *, by_label: bool, variant: str = "eps",
-               cell: float = 256.0, min_iou: float | None = None) -> DataFrame:
+               cell: float = CELL, min_iou: float | None = None) -> DataFrame:
     """Add ``best_box_id``, ``best_iou`` and ``best_label`` to every detection.
 
     The best truth has the highest IoU among the image's truths (of the same
@@ -59,7 +59,7 @@ def _best(det: DataFrame, truth: DataFrame, by_label: bool, variant: str, cell:
 
 
 def flag_matches(det: DataFrame, truth: DataFrame, iou_threshold: float, *, by_label: bool, variant: str = "eps",
-                 cell: float = 256.0) -> DataFrame:
+                 cell: float = CELL) -> DataFrame:
     """Detections with ``tp`` = 1 on the one that claims each truth (:func:`best_truth` and
     :func:`match_winners` in one).  Scores travel with the overlapping pairs, so the
     detections themselves are joined once."""

@@ -10,6 +10,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -69,6 +70,10 @@ SELECT vec_id, transform(embedding, x -> CAST(x AS DOUBLE)) AS f, CAST(label % 3
 FROM embeddings""", ("embeddings",)),
 }
 DUCKDB_ONLY_SQL: dict[str, tuple[str, tuple[str, ...]]] = {
+    # every image has a feature vector: number img_id modulo the number of vectors
+    "img_vec": ("""
+SELECT i.img_id, i.width, i.height, e.embedding
+FROM img i JOIN embeddings e ON e.vec_id = i.img_id % (SELECT count(*) FROM embeddings)""", ("img", "embeddings")),
     "cellmap": ("""
 SELECT vec_id AS img_id, CAST(pos AS INT) AS pos, CAST(embedding[pos % 64 + 1] AS DOUBLE) * 8 AS logit
 FROM embeddings CROSS JOIN (SELECT unnest(range(192)) AS pos) p""", ("embeddings",)),
@@ -107,6 +112,10 @@ class Tables:
         if name not in self._cache:
             if name in BASE_TABLES:
                 self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            elif name == "img_vec":  # the number of vectors is one scalar
+                vec = F.pmod("img_id", F.lit(max(1, self["embeddings"].count())))
+                e = self["embeddings"].select("vec_id", "embedding")
+                self._cache[name] = self["img"].withColumn("vec_id", vec).join(e, "vec_id").drop("vec_id")
             else:
                 sql, deps = _spark_views()[name]
                 self._cache[name] = self.spark.sql(_braced(sql, deps), **{d: self[d] for d in deps})

@@ -190,10 +190,10 @@ SELECT img_id, slot, gy, gx, k, CAST(u.i - 1 AS INT) AS label,
 FROM geo CROSS JOIN (SELECT unnest([1, 2, 3]) AS i) u"""
 
 
-def _featmaps(t):
-    """One 1x8 output map (scale 0) per embedding, whose values come three times; logits scaled by 8, input 256x32."""
-    return t.embeddings.select(
-        F.col("vec_id").alias("img_id"), F.lit(0).alias("scale"), F.lit(1).alias("grid_h"), F.lit(8).alias("grid_w"),
+def _featmaps(t, vectors=None, key="vec_id"):
+    """One 1x8 output map (scale 0) per vector, whose values come three times; logits scaled by 8, input 256x32."""
+    return (t.embeddings if vectors is None else vectors).select(
+        F.col(key).alias("img_id"), F.lit(0).alias("scale"), F.lit(1).alias("grid_h"), F.lit(8).alias("grid_w"),
         F.transform(F.concat("embedding", "embedding", "embedding"), lambda v: v.cast("double") * 8).alias("values"))
 
 
@@ -303,9 +303,9 @@ WHERE {osql._iou_sql('a.', 'b.', 'tf')} > 0.5""")
 def q_overlap_pairs(t):
     """Pairs in one image and class with IoU > 0.5 (grid join, never all pairs)."""
     p = t.pred.select("img_id", "label", "pred_id", *COORDS)
-    j = overlap_self_join(p, ["img_id", "label"], normalise=True)
+    j = overlap_self_join(p, ["img_id", "label"], normalise=True, before="pred_id")
     v = iou(_box("a_"), _box("b_"), "tf")
-    return (j.filter((F.col("a_pred_id") < F.col("b_pred_id")) & (v > 0.5))
+    return (j.filter(v > 0.5)
              .select("img_id", "label", F.col("a_pred_id").alias("a_id"), F.col("b_pred_id").alias("b_id"),
                      v.alias("iou")))
 
@@ -356,11 +356,15 @@ dec_det AS (
           + "SELECT * FROM nms_out")
 def q_decode_nms(t):
     """B10-B14 + F1 + K2: feature maps to final detections (scores and corners rounded to 6 places)."""
-    boxes = predict_boxes(decode(_featmaps(t), 3, ANCHORS, img_w=256, img_h=32))
-    det = to_detections(boxes)
-    det = det.select("img_id", "label", F.col("pred_id").cast("int").alias("pred_id"), F.round("score", 6).alias("score"),
-                     *[F.round(c, 6).alias(c) for c in COORDS])
-    return nms(det, 0.5, 0.3, 50, "tf")
+    return _decoded(_featmaps(t))
+
+
+def _decoded(maps):
+    """Final detections of feature maps.  Rounded scores are masked before a slot's classes become rows; a map's
+    slots bound a group, so no sizes are counted."""
+    det = to_detections(predict_boxes(decode(maps, 3, ANCHORS, img_w=256, img_h=32)), 0.3, digits=6)
+    det = det.select("img_id", "label", F.col("pred_id").cast("int").alias("pred_id"), "score", *[F.round(c, 6).alias(c) for c in COORDS])
+    return nms(det, 0.5, None, 50, "tf", strategy="fold")
 
 
 # --- E4: feature maps to VOC -------------------------------------------------------------------
@@ -369,17 +373,23 @@ _DECODE_TRUTH_CTE = """,
 dec_truth AS (
   SELECT g.img_id, g.box_id, g.label, g.x_min * 256 / i.width AS x_min, g.y_min * 32 / i.height AS y_min,
          g.x_max * 256 / i.width AS x_max, g.y_max * 32 / i.height AS y_max
-  FROM gt g JOIN img i ON i.img_id = g.img_id WHERE g.img_id IN (SELECT vec_id FROM embeddings))"""
+  FROM gt g JOIN img i ON i.img_id = g.img_id)"""
+_IMAGE_DET_CTE = """,
+vec_det AS (SELECT img_id AS vec_id, label, pred_id, score, x_min, y_min, x_max, y_max FROM nms_out),
+img_det AS (
+  SELECT i.img_id, v.label, v.pred_id, v.score, v.x_min, v.y_min, v.x_max, v.y_max
+  FROM img i JOIN vec_det v ON v.vec_id = i.img_id % (SELECT count(*) FROM embeddings))"""
 
 
-@register("decode_voc", osql.with_views("cellmap", "gt", extra=_DECODE_DET_CTE + "," + osql.nms_sql("dec_det", score_t=0.3)
-                                        + _DECODE_TRUTH_CTE + "," + osql.voc_sql("nms_out", "dec_truth", 0.1)) + "SELECT * FROM voc_cls")
+@register("decode_voc", osql.with_views("cellmap", "gt", extra=_DECODE_DET_CTE + "," + osql.nms_sql("dec_det", score_t=0.3) + _IMAGE_DET_CTE
+                                        + _DECODE_TRUTH_CTE + "," + osql.voc_sql("img_det", "dec_truth", 0.1)) + "SELECT * FROM voc_cls")
 def q_decode_voc(t):
-    """Feature maps -> detections (a slot may stay under several classes) -> NMS -> VOC at IoU 0.1."""
+    """Feature maps of all images -> detections (a slot may stay under several classes) -> NMS -> VOC at IoU 0.1."""
     from boxframe.operators.voc import voc_eval
     from boxframe.session import cut_lineage
-    g = t.gt.join(t.embeddings.select(F.col("vec_id").alias("img_id")), "img_id", "left_semi").join(t.img, "img_id")
+    g = t.gt.join(t.img, "img_id")
     truth = g.select("img_id", "box_id", "label", (F.col("x_min") * 256 / F.col("width")).alias("x_min"),
                      (F.col("y_min") * 32 / F.col("height")).alias("y_min"), (F.col("x_max") * 256 / F.col("width")).alias("x_max"),
                      (F.col("y_max") * 32 / F.col("height")).alias("y_max"))
-    return voc_eval(cut_lineage(q_decode_nms(t)), truth, 0.1)
+    maps = _featmaps(t, t.img_vec, "img_id")
+    return voc_eval(cut_lineage(_decoded(maps)), truth, 0.1)

@@ -17,8 +17,7 @@ GRIDS = ((0, 1, 2), (1, 2, 4), (2, 4, 8))  # (scale, grid_h, grid_w)
 
 
 def featmaps3(t):
-    """Three output maps per embedding: value i of scale s = embedding[(i + 17 s) mod 64] * 8."""
-    e = t.embeddings
+    """Three output maps per image: value i of scale s = embedding[(i + 17 s) mod 64] * 8 of its vector."""
     maps = []
     for s, gh, gw in GRIDS:
         n = gh * gw * 3 * 8
@@ -26,13 +25,13 @@ def featmaps3(t):
                            lambda i: F.element_at(F.col("embedding"), F.pmod(i + 17 * s, F.lit(64)) + 1).cast("double") * 8)
         maps.append(F.struct(F.lit(s).alias("scale"), F.lit(gh).alias("grid_h"), F.lit(gw).alias("grid_w"),
                              vals.alias("values")))
-    return (e.select(F.col("vec_id").alias("img_id"), F.explode(F.array(*maps)).alias("m"))
+    return (t.img_vec.select("img_id", F.explode(F.array(*maps)).alias("m"))
              .select("img_id", "m.scale", "m.grid_h", "m.grid_w", "m.values"))
 
 
 def loss_targets(t):
-    """Truth of the embedded images rescaled into the 64x32 input, assigned and folded."""
-    g = t.gt.join(t.embeddings.select(F.col("vec_id").alias("img_id")), "img_id", "left_semi").join(t.img, "img_id")
+    """Truth of all images rescaled into the 64x32 input, assigned and folded."""
+    g = t.gt.join(t.img, "img_id")
     g = g.select("img_id", "box_id", "label",
                  (F.col("x_min") / F.col("width") * 64).alias("x_min"), (F.col("y_min") / F.col("height") * 32).alias("y_min"),
                  (F.col("x_max") / F.col("width") * 64).alias("x_max"), (F.col("y_max") / F.col("height") * 32).alias("y_max"))
@@ -45,8 +44,8 @@ def _anchor_sql(dim: int) -> str:
 
 _LOSS_CTE = f"""
 fm AS (
-  SELECT e.vec_id AS img_id, g.scale, g.gh, g.gw, e.embedding
-  FROM embeddings e CROSS JOIN (VALUES (0, 1, 2), (1, 2, 4), (2, 4, 8)) g(scale, gh, gw)),
+  SELECT e.img_id, g.scale, g.gh, g.gw, e.embedding
+  FROM img_vec e CROSS JOIN (VALUES (0, 1, 2), (1, 2, 4), (2, 4, 8)) g(scale, gh, gw)),
 fm_slots AS (SELECT img_id, scale, gh, gw, embedding, unnest(range(gh * gw * 3)) AS slot FROM fm),
 raw AS (
   SELECT img_id, CAST(scale AS INT) AS scale, gh, gw, CAST(slot // 3 // gw AS INT) AS gy,
@@ -68,7 +67,7 @@ sl2 AS (SELECT *, exp(tw) * aw AS w, exp(th) * ah AS h FROM sl),
 src AS (
   SELECT g.img_id, g.box_id, g.label, g.x_min / i.width * 64 AS x_min, g.y_min / i.height * 32 AS y_min,
          g.x_max / i.width * 64 AS x_max, g.y_max / i.height * 32 AS y_max
-  FROM gt g JOIN img i ON i.img_id = g.img_id WHERE g.img_id IN (SELECT vec_id FROM embeddings)),
+  FROM gt g JOIN img i ON i.img_id = g.img_id),
 src2 AS (
   SELECT *, (x_min + x_max) / 2 AS cx, (y_min + y_max) / 2 AS cy, x_max - x_min AS w, y_max - y_min AS h FROM src),
 src3 AS (
@@ -127,7 +126,7 @@ terms AS (
              + o * (greatest(t2, 0.0) - t2 * CASE WHEN coalesce(t_mask, 0) & 4 <> 0 THEN 1.0 ELSE 0.0 END + ln(1 + exp(-abs(t2)))) * m
            AS l_class
   FROM j3),
-nimg AS (SELECT count(DISTINCT vec_id) AS n FROM embeddings),
+nimg AS (SELECT count(*) AS n FROM img),
 per AS (
   SELECT scale, sum(l_xy) AS l_xy, sum(l_wh) AS l_wh, sum(l_conf) AS l_conf, sum(l_class) AS l_class
   FROM terms GROUP BY ROLLUP (scale))"""
@@ -146,7 +145,7 @@ def _loss(t, maps=None, targets=None, **kw):
                                  ("loss_xy", "loss_wh", "loss_conf", "loss_class", "loss_total")])
 
 
-@register("detection_loss", osql.with_views("gt", extra=_LOSS_CTE) + _LOSS_SELECT)
+@register("detection_loss", osql.with_views("gt", "img_vec", extra=_LOSS_CTE) + _LOSS_SELECT)
 def q_detection_loss(t):
     """G9 with J4 (ignore mask), J5 (slot-target join), B15-B19: per-scale losses and the total."""
     return _loss(t)
@@ -163,7 +162,7 @@ _FOCAL_CTE = _LOSS_CTE.replace("* (greatest(tc, 0.0) - tc * o + ln(1 + exp(-abs(
                                "* (greatest(tc, 0.0) - tc * o + ln(1 + exp(-abs(tc)))) * pow(abs(o - 1.0 / (1.0 + exp(-tc))), 2) * m AS l_conf")
 
 
-@register("detection_loss_focal_smooth", osql.with_views("gt", extra=_smooth_sql(_FOCAL_CTE)) + _LOSS_SELECT)
+@register("detection_loss_focal_smooth", osql.with_views("gt", "img_vec", extra=_smooth_sql(_FOCAL_CTE)) + _LOSS_SELECT)
 def q_detection_loss_focal_smooth(t):
     """G9 with both switches on: focal weight on the object term (B19), smoothed class targets."""
     return _loss(t, use_focal_loss=True, use_label_smooth=True)
@@ -173,7 +172,7 @@ _BATCH_SCOPE_CTE = _LOSS_CTE.replace("FROM sl2 s LEFT JOIN tg t ON t.img_id = s.
                                      "FROM sl2 s LEFT JOIN tg t ON t.img_id // 20 = s.img_id // 20 AND t.scale = s.scale")
 
 
-@register("detection_loss_batch_scope", osql.with_views("gt", extra=_BATCH_SCOPE_CTE) + _LOSS_SELECT)
+@register("detection_loss_batch_scope", osql.with_views("gt", "img_vec", extra=_BATCH_SCOPE_CTE) + _LOSS_SELECT)
 def q_detection_loss_batch_scope(t):
     """G9 with the ignore mask over all truths of a batch of 20 image ids."""
     batch = lambda df: df.withColumn("batch", F.floor(F.col("img_id") / 20).cast("bigint"))
@@ -451,12 +450,12 @@ from boxframe.session import cut_lineage, ensure_checkpoint_dir  # noqa: E402
 
 # Single-scale training fixture: one cell per image (grid 1x1), input 32x32, scale-0 anchors / 8.
 HEAD_ANCHORS = tuple(LOSS_ANCHORS[i] for i in ANCHOR_GROUPS[0])
-HEAD_BATCH = 200
+HEAD_BATCH = 5000
 
 
 def head_cells(t):
-    """``(step, f, tgt, truths)``: features of each embedded image with its folded targets."""
-    g = t.gt.join(t.features.select(F.col("vec_id").alias("img_id")), "img_id", "left_semi").join(t.img, "img_id")
+    """``(step, f, tgt, truths)``: features of each image with its folded targets."""
+    g = t.gt.join(t.img, "img_id")
     g = g.select("img_id", "box_id", "label",
                  ((F.col("x_min") + F.col("x_max")) / 2 / F.col("width") * 32).alias("cx"),
                  ((F.col("y_min") + F.col("y_max")) / 2 / F.col("height") * 32).alias("cy"),
@@ -478,7 +477,7 @@ def head_cells(t):
     per = per.select("img_id", F.array(*[v for k in range(3) for v in slot_vec(k)]).alias("tgt"),
                      F.transform("slots", lambda s: F.array(s["geo"]["cx"], s["geo"]["cy"], s["geo"]["w"],
                                                             s["geo"]["h"])).alias("truths"))
-    feats = t.features.select(F.col("vec_id").alias("img_id"), "f")
+    feats = t.img_vec.select("img_id", F.transform("embedding", lambda x: x.cast("double")).alias("f"))
     cells = feats.join(per, "img_id", "left").select(
         "img_id", "f", F.coalesce("tgt", F.array(*([F.lit(0.0)] * 4 + [F.lit(0.0), F.lit(1.0)] + [F.lit(0.0)] * 3) * 3)).alias("tgt"),
         "truths")
@@ -503,35 +502,24 @@ def q_fit_head(t):
     return spark.createDataFrame([(r["step"], r["loss"], r["lr"]) for r in log], schema)
 
 
-# --- A1-A10 augmentation and dense targets (randomised / NumPy: rows-only checks) ------------------
+# --- A10 dense targets ---------------------------------------------------------------------------------
 
 from boxframe.operators.assign import dense_targets  # noqa: E402
-from boxframe.operators.augment import augment  # noqa: E402
-from boxframe.functions.boxes import COORDS  # noqa: E402
-
-
-@register("augment_boxes")
-def q_augment_boxes(t):
-    """A1/A4/A6-A8 box side: expand, constrained random crop, resize to 416, flip; seeded per image."""
-    nested = (t.gt.groupBy("img_id")
-                  .agg(F.collect_list(F.struct("box_id", "label", *COORDS, F.lit(1.0).alias("weight"))).alias("boxes"))
-                  .join(t.img, "img_id"))
-    out = augment(nested, (416, 416), seed=SEED, epoch=0)
-    return (out.select("img_id", "interp", "flip_h", "crop_w", "crop_h", F.explode("boxes").alias("b"))
-               .select("img_id", "interp", "flip_h", "crop_w", "crop_h", "b.box_id", "b.label", *[f"b.{c}" for c in COORDS]))
-
-
-@register("dense_targets", osql.with_views("gt", extra=_LOSS_CTE) + """
-, slot_sum AS (
-  SELECT img_id, scale, sum(CAST(CAST(t_cx AS FLOAT) AS DOUBLE) + CAST(CAST(t_cy AS FLOAT) AS DOUBLE) + CAST(CAST(t_w AS FLOAT) AS DOUBLE)
-         + CAST(CAST(t_h AS FLOAT) AS DOUBLE) + 1.0 + (t_mask & 1) + ((t_mask >> 1) & 1) + ((t_mask >> 2) & 1) + t_weight - 1.0) AS v
-  FROM tg GROUP BY img_id, scale)
-SELECT f.img_id, CAST(f.scale AS INT) AS scale, CAST(f.gh AS INT) AS grid_h, CAST(f.gw AS INT) AS grid_w,
-       CAST(f.gh * f.gw * 3 * 9 AS INT) AS n_values, round(f.gh * f.gw * 3 + coalesce(s.v, 0.0), 4) AS value_sum
-FROM fm f LEFT JOIN slot_sum s ON s.img_id = f.img_id AND s.scale = f.scale""")
+
+
+@register("dense_targets", osql.with_views("gt", "img_vec", extra=_LOSS_CTE) + """
+, dense AS (
+  SELECT s.img_id, s.scale, s.gh, s.gw, (s.gy * s.gw + s.gx) * 3 + s.k AS slot,
+         [coalesce(t_cx, 0.0), coalesce(t_cy, 0.0), coalesce(t_w, 0.0), coalesce(t_h, 0.0), CASE WHEN t_cx IS NULL THEN 0.0 ELSE 1.0 END,
+          coalesce(t_mask, 0) & 1, (coalesce(t_mask, 0) >> 1) & 1, (coalesce(t_mask, 0) >> 2) & 1, coalesce(t_weight, 1.0)] AS ch
+  FROM raw s LEFT JOIN tg t USING (img_id, scale, gy, gx, k))
+SELECT img_id, scale, CAST(gh AS INT) AS grid_h, CAST(gw AS INT) AS grid_w, CAST(count(*) * 9 AS INT) AS n_values,
+       round(sum(list_sum(list_transform(ch, lambda x, i: CAST(CAST(x AS FLOAT) AS DOUBLE) * (1 + (slot * 9 + i - 1) % 97)))), 3) AS value_sum
+FROM dense GROUP BY img_id, scale, gh, gw""")
 def q_dense_targets(t):
-    """A10: dense grids for the 64x32 loss fixture (3 scales per image)."""
-    imgs = t.embeddings.select(F.col("vec_id").alias("img_id"), F.lit(64).alias("img_w"), F.lit(32).alias("img_h"))
+    """A10: dense grids of all images for the 64x32 loss fixture (3 scales per image); each value counts by its place."""
+    imgs = t.img.select("img_id", F.lit(64).alias("img_w"), F.lit(32).alias("img_h"))
     d = dense_targets(loss_targets(t), imgs, 3)
+    placed = F.transform("values", lambda x, i: x.cast("double") * (1 + i % 97))
     return d.select("img_id", "scale", "grid_h", "grid_w", F.size("values").alias("n_values"),
-                    F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("value_sum"))
+                    F.round(F.aggregate(placed, F.lit(0.0), lambda a, x: a + x), 3).alias("value_sum"))
