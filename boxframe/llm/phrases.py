@@ -1,11 +1,11 @@
 """Phrase collocations per language by top-order marginalisation.
 
 Each word starts one window: itself and the next two words of its piece (the lead columns), padded with ''
-at the end of a piece.  Only these longest windows are counted; Spark's ROLLUP over (lang, w1, w2, w3) sums
-them to the counts of pairs, of words and of the language, so shorter n-grams are never exploded.
+at the end of a piece.  Only these longest windows are counted; Spark's ROLLUP over (w1, w2, w3) sums the counted
+windows to the counts of pairs, of words and of the language, so shorter n-grams are never exploded.
 
 A phrase counts from ``MIN_COUNT`` occurrences on, and so do all its parts.  Words and continuations that cannot
-be part of such a phrase are therefore padded as well: a first pass hashes words and word pairs into cells and
+be part of such a phrase are therefore padded as well: a first pass hashes words, pairs and triples into cells and
 keeps one bit a cell, set if the cell was met ``MIN_COUNT`` times or more.  What is frequent always has its bit, so
 no count that matters changes; rare ones that share its cell only make more windows than needed.  The bits follow the bytes
 of text (``BYTES_A_CELL``) up to ``MAX_BITS``; fewer bits mean more windows, never other results.
@@ -43,7 +43,9 @@ BYTES_A_CELL = 16
 MIN_BITS, MAX_BITS = 16, 30
 #: Bytes of text whose windows a task adds up at once, and cells.
 GROUP = 1 << 23
-FLUSH = 1 << 22
+FLUSH = 1 << 23
+#: Tasks whose cells are added up together first.
+TOGETHER = 256
 CELL_ROWS = 1 << 16
 _U = np.uint64
 _KIND = np.zeros(256, np.uint8)
@@ -111,11 +113,14 @@ class _Words:
         self.next1[:-1] = piece[1:] == piece[:-1]
         self.next2[:-2] = piece[2:] == piece[:-2]
 
-    def cells(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """Cells of the words, and of the pair that starts at each word but the last."""
+    def cells(self, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cells of the words, and of the pairs and triples that start at each word that has enough after it."""
         seed = np.array([tokenise(b"x" + n.encode("utf-8", "surrogatepass").hex().encode())[2][0] for n in self.names], np.uint64)
+        down = _U(64 - bits)
         word = mix(seed[self.lang] + self.h)
-        return word >> _U(64 - bits), mix(word[:-1] * BASE + self.h[1:]) >> _U(64 - bits)
+        pair = mix(word[:-1] * BASE + self.h[1:])
+        triple = mix(pair[:-1] * BASE + self.h[2:])
+        return tuple((x >> down).astype(np.uint32) for x in (word, pair, triple))
 
 
 def _groups(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[_Words]:
@@ -147,7 +152,7 @@ def cell_bits(docs: DataFrame) -> int:
 
 
 def frequent_cells(docs: DataFrame, bits: int, min_count: int = MIN_COUNT) -> np.ndarray:
-    """One bit for each of 2**bits cells of words and word pairs: whether they were met ``min_count`` times together.
+    """One bit for each of 2**bits cells of words, pairs and triples: whether they were met ``min_count`` times together.
 
     Tasks send the cells they met, 65,536 neighbours a row; rows of the same neighbours are added up in two
     steps, so a group holds a bounded number of them.  The driver gets the bits alone."""
@@ -159,8 +164,8 @@ def frequent_cells(docs: DataFrame, bits: int, min_count: int = MIN_COUNT) -> np
         def flush() -> Iterator[pa.RecordBatch]:
             cell, n = np.unique(np.concatenate(held), return_counts=True)
             n = np.minimum(n, cap).astype(np.uint8)
-            low = (cell & _U(CELL_ROWS - 1)).astype(np.uint16)
-            block, at = np.unique((cell >> _U(16)).astype(np.int64), return_index=True)
+            low = cell.astype(np.uint16)
+            block, at = np.unique(cell >> np.uint32(16), return_index=True)
             cuts = [*at.tolist(), len(cell)]
             for k in range(0, len(block), 4096):
                 part = range(k, min(len(block), k + 4096))
@@ -170,9 +175,10 @@ def frequent_cells(docs: DataFrame, bits: int, min_count: int = MIN_COUNT) -> np
 
         size = 0
         for words in _groups(batches, SEGMENT):
-            word, pair = words.cells(bits)
-            held += [word, pair[words.next1[:-1]]]
-            size += len(held[-2]) + len(held[-1])
+            word, pair, triple = words.cells(bits)
+            more = [word, pair[words.next1[:-1]], triple[words.next2[:-2]]]
+            held += more
+            size += sum(map(len, more))
             if size > FLUSH:
                 yield from flush()
                 held, size = [], 0
@@ -193,7 +199,7 @@ def frequent_cells(docs: DataFrame, bits: int, min_count: int = MIN_COUNT) -> np
     def last(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"block": rows["block"][:1].values, "bits": [np.packbits(add(rows) >= cap).tobytes()]})
 
-    met = _texts(docs).mapInArrow(meet, "block int, low binary, n binary").withColumn("part", F.spark_partition_id() % 64)
+    met = _texts(docs).mapInArrow(meet, "block int, low binary, n binary").withColumn("part", F.floor(F.spark_partition_id() / TOGETHER))
     some_of = met.groupBy("block", "part").applyInPandas(some, "block int, low binary, n binary")
     out = np.zeros(max(1, (1 << bits) // 8), np.uint8)
     for r in some_of.groupBy("block").applyInPandas(last, "block int, bits binary").toLocalIterator():
@@ -215,20 +221,21 @@ def windows(docs: DataFrame, bits: int, frequent: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def often(cell: np.ndarray) -> np.ndarray:
-        return (shared.value[(cell >> _U(3)).astype(np.int64)] >> (7 - (cell & _U(7))).astype(np.uint8) & 1).astype(bool)
+        return (shared.value[cell >> np.uint32(3)] >> (7 - (cell & np.uint32(7))).astype(np.uint8) & 1).astype(bool)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in _groups(batches, GROUP):
             n = len(words.h)
             if not n:
                 continue
-            word, pair = words.cells(bits)
+            word, pair, triple = words.cells(bits)
             one = often(word)
             two = words.next1 & one
             two[:-1] &= one[1:] & often(pair)
-            del word, pair
             three = two & words.next2
             three[:-1] &= two[1:]
+            three[:-2] &= often(triple)
+            del word, pair, triple
             zero = _U(0)
             key = mix(words.lang.astype(np.uint64) + np.where(one, words.h, zero)) * BASE
             key[:-1] += np.where(two[:-1], words.h[1:], zero)
@@ -255,8 +262,9 @@ def ngram_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     bits = cell_bits(docs)
+    top = windows(docs, bits, frequent_cells(docs, bits, min_count)).groupBy("lang", "w1", "w2", "w3").agg(F.sum("n").alias("n"))
     rolled = spark.sql("""SELECT lang, w1, w2, w3, grouping_id() AS level, sum(n) AS n
-                          FROM {top} GROUP BY lang, ROLLUP (w1, w2, w3)""", top=windows(docs, bits, frequent_cells(docs, bits, min_count)))
+                          FROM {top} GROUP BY lang, ROLLUP (w1, w2, w3)""", top=top)
     last, often = F.expr("CASE level WHEN 0 THEN w3 WHEN 1 THEN w2 WHEN 3 THEN w1 END"), F.col("n") >= min_count
     return (rolled.filter((F.col("level") == 7) | (last != "") & often)
             .select("lang", *[F.coalesce(c, F.lit("")).alias(c) for c in ("w1", "w2", "w3")], "n"))
@@ -292,7 +300,7 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, inside: int = INSI
     triples = cuts.select("lang", "phrase", "a", *[F.when(first, F.col(x)).otherwise(F.col(y)).alias(z)
                                                    for x, y, z in (("l1", "l2", "l"), ("r1", "r2", "r"), ("s1", "s2", "score"))])
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    spread = F.pmod(F.xxhash64("phrase"), F.lit(64))  # no task sorts all phrases of a language
+    spread = F.pmod(F.xxhash64("phrase"), F.lit(16))  # no task sorts all phrases of a language
     best = (pairs.unionByName(triples).withColumn("part", spread)
             .withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).filter(F.col("rank") <= top)
             .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top))
