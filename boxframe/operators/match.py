@@ -66,14 +66,22 @@ def flag_matches(det: DataFrame, truth: DataFrame, iou_threshold: float, *, by_l
     claim = _best(det, truth, by_label, variant, cell, iou_threshold)
     if not by_label:
         claim = claim.filter(F.col("best_label") == F.col("label"))
-    return (det.join(_winners(claim), list(DET_KEY), "left").withColumn("tp", F.coalesce(F.col("tp"), F.lit(0))))
+    return (det.join(_winners(claim).drop("score"), list(DET_KEY), "left").withColumn("tp", F.coalesce(F.col("tp"), F.lit(0))))
 
 
 def _winners(claim: DataFrame) -> DataFrame:
     """Of the claimants of each truth, the one with the highest score, lowest ``pred_id`` on ties."""
     return (claim.groupBy("img_id", "label", "best_box_id")
                  .agg(F.min(F.struct(F.negative(F.col("score")).alias("__s"), F.col("pred_id"))).alias("__w"))
-                 .select("img_id", "label", F.col("__w.pred_id").alias("pred_id"), F.lit(1).alias("tp")))
+                 .select("img_id", "label", F.col("__w.pred_id").alias("pred_id"), F.lit(1).alias("tp"),
+                         F.negative(F.col("__w.__s")).alias("score")))
+
+
+def true_positives(det: DataFrame, truth: DataFrame, iou_threshold: float, *, variant: str = "voc",
+                   cell: float = CELL) -> DataFrame:
+    """``img_id, label, pred_id, score`` of the detections that claim a truth of their class; the others are not
+    joined back."""
+    return _winners(_best(det, truth, True, variant, cell, iou_threshold)).drop("tp")
 
 
 def match_winners(matched: DataFrame, iou_threshold: float, *, same_label: bool = True) -> DataFrame:
@@ -86,7 +94,7 @@ def match_winners(matched: DataFrame, iou_threshold: float, *, same_label: bool
     claim = matched.filter(F.col("best_iou") > F.lit(float(iou_threshold)))
     if not same_label:
         claim = claim.filter(F.col("best_label") == F.col("label"))
-    return (matched.join(_winners(claim), list(DET_KEY), "left")
+    return (matched.join(_winners(claim).drop("score"), list(DET_KEY), "left")
                    .withColumn("tp", F.coalesce(F.col("tp"), F.lit(0))))
 
 
