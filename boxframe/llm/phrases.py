@@ -208,16 +208,22 @@ def frequent_cells(docs: DataFrame, bits: int, min_count: int = MIN_COUNT) -> np
     return out
 
 
-def _strings(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
-    """String array of the slices of ``raw``."""
-    offsets = np.zeros(len(start) + 1, np.int32)
-    np.cumsum(size, out=offsets[1:])
-    index = np.repeat(start.astype(np.int64) - offsets[:-1], size) + np.arange(offsets[-1])
-    return pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw[index].tobytes()))
+def _joined(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.Array:
+    """Strings of the slices (bytes, start, size) of each part in turn, with a tab between two parts."""
+    ends = np.cumsum(sum(size.astype(np.int64) for _, _, size in parts) + len(parts) - 1)
+    out = np.full(ends[-1], 0x09, np.uint8)
+    at = np.concatenate([[0], ends[:-1]])
+    for raw, start, size in parts:
+        step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        out[np.repeat(at, size) + step] = raw[np.repeat(start, size) + step]
+        at = at + size + 1
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes()))
 
 
 def windows(docs: DataFrame, bits: int, frequent: np.ndarray) -> DataFrame:
-    """(lang, w1, w2, w3, n): padded longest windows of each task's texts with their number there."""
+    """(gram, n): padded longest windows of each task's texts with their number there.  A gram is w1, w2, w3 and lang
+    with tabs between (no word has one): one string makes smaller rows to shuffle than four."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def often(cell: np.ndarray) -> np.ndarray:
@@ -242,18 +248,24 @@ def windows(docs: DataFrame, bits: int, frequent: np.ndarray) -> DataFrame:
             key = mix(key) * BASE
             key[:-2] += np.where(three[:-2], words.h[2:], zero)
             _, at, many = np.unique(key, return_index=True, return_counts=True)
-            raw = np.frombuffer(words.raw, np.uint8)
-            size = words.end - words.start
-            names = pa.array(words.names, pa.string())
+            near = words.h[at] & _U(0xFFFFFFFF00000000)  # windows with equal first words stand together: their rows compress
+            near |= np.where(two[at], words.h[np.minimum(at + 1, n - 1)] >> _U(32), zero)
+            turn = np.argsort(near)
+            at, many = at[turn], many[turn]
+            raw, size = np.frombuffer(words.raw, np.uint8), words.end - words.start
+            names = [x.encode("utf-8", "surrogatepass") for x in words.names]
+            name_size = np.array([len(x) for x in names])
+            name = (np.frombuffer(b"".join(names) or b" ", np.uint8), np.cumsum(name_size) - name_size, name_size)
             for k in range(0, len(at), 1 << 16):
                 i = at[k: k + (1 << 16)]
-                cols = [names.take(pa.array(words.lang[i]))]
+                parts = []
                 for step, kept in ((0, one), (1, two), (2, three)):
                     j = np.minimum(i + step, n - 1)
-                    cols.append(_strings(raw, words.start[j], np.where(kept[i], size[j], 0)))
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(many[k: k + (1 << 16)].astype(np.int64))], names=["lang", "w1", "w2", "w3", "n"])
+                    parts.append((raw, words.start[j], np.where(kept[i], size[j], 0)))
+                parts.append((name[0], name[1][words.lang[i]], name[2][words.lang[i]]))
+                yield pa.RecordBatch.from_arrays([_joined(parts), pa.array(many[k: k + (1 << 16)].astype(np.int64))], names=["gram", "n"])
 
-    return _texts(docs).mapInArrow(count, "lang string, w1 string, w2 string, w3 string, n bigint")
+    return _texts(docs).mapInArrow(count, "gram string, n bigint")
 
 
 def ngram_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
@@ -262,7 +274,9 @@ def ngram_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     bits = cell_bits(docs)
-    top = windows(docs, bits, frequent_cells(docs, bits, min_count)).groupBy("lang", "w1", "w2", "w3").agg(F.sum("n").alias("n"))
+    top = windows(docs, bits, frequent_cells(docs, bits, min_count)).groupBy("gram").agg(F.sum("n").alias("n"))
+    field = F.split("gram", "\t", 4)
+    top = top.select(*[field[k].alias(c) for k, c in enumerate(("w1", "w2", "w3", "lang"))], "n")
     rolled = spark.sql("""SELECT lang, w1, w2, w3, grouping_id() AS level, sum(n) AS n
                           FROM {top} GROUP BY lang, ROLLUP (w1, w2, w3)""", top=top)
     last, often = F.expr("CASE level WHEN 0 THEN w3 WHEN 1 THEN w2 WHEN 3 THEN w1 END"), F.col("n") >= min_count
