@@ -47,4 +47,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # importing the modules registers their queries
-    from boxframe.plans import q_augment, q_boxes, q_eval, q_train  # noqa: F401
+    from boxframe.plans import q_eval, q_boxes, q_train, q_augment  # noqa: F401

@@ -115,7 +115,8 @@ class Tables:
             elif name == "img_vec":  # the number of vectors is one scalar
                 vec = F.pmod("img_id", F.lit(max(1, self["embeddings"].count())))
                 e = self["embeddings"].select("vec_id", "embedding")
-                self._cache[name] = self["img"].withColumn("vec_id", vec).join(e, "vec_id").drop("vec_id")
+                n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))  # few bytes, but many slots an image
+                self._cache[name] = self["img"].withColumn("vec_id", vec).join(e, "vec_id").drop("vec_id").repartition(n, "img_id")
             else:
                 sql, deps = _spark_views()[name]
                 self._cache[name] = self.spark.sql(_braced(sql, deps), **{d: self[d] for d in deps})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from boxframe.config import DEFAULT_ANCHORS, parse_anchor_string
@@ -9,6 +11,7 @@ from boxframe.operators.assign import assign_anchors, class_mask, encode_targets
 from boxframe.operators.loss import detection_loss, l2_penalty
 from boxframe.plans import oracle_sql as osql
 from boxframe.plans.catalog import register
+from boxframe.session import cut_lineage, ensure_checkpoint_dir
 
 ANCHORS = parse_anchor_string(DEFAULT_ANCHORS)
 # The loss fixture feeds a 64x32 input (grids 1x2, 2x4, 4x8), so anchors are scaled by 1/8.
@@ -140,7 +143,7 @@ FROM per CROSS JOIN nimg"""
 
 def _loss(t, maps=None, targets=None, **kw):
     out = detection_loss(featmaps3(t) if maps is None else maps, loss_targets(t) if targets is None else targets, 3,
-                         LOSS_ANCHORS, img_w=64, img_h=32, **kw)
+                         LOSS_ANCHORS, img_w=64, img_h=32, n_images=t.img.count(), **kw)
     return out.select("scale", *[F.round(c, 6).alias(c) for c in
                                  ("loss_xy", "loss_wh", "loss_conf", "loss_class", "loss_total")])
 
@@ -195,7 +198,8 @@ from boxframe.operators.feed import batch_sizes, epoch_batches, mixup_boxes, mix
 from boxframe.operators.match import evaluate_matches  # noqa: E402
 from boxframe.operators.meters import meters_by_window, weighted_meter  # noqa: E402
 from boxframe.operators.nms import nms  # noqa: E402
-from boxframe.sources.sinks import dataset_profile, metrics_long  # noqa: E402
+from boxframe.operators.loss import check_finite, observe_finite  # noqa: E402
+from boxframe.sources.sinks import dataset_profile, metrics_long, read_detections, write_epoch  # noqa: E402
 
 CFG = DetectionConfig()
 LR_ROUND = 15
@@ -210,9 +214,8 @@ def _lr_sql(lr_type: str, u: str) -> str:
     if lr_type == "exponential":
         return f"greatest({d(c.learning_rate_init)} * pow({d(c.lr_decay_factor)}, floor({u} / {d(float(c.lr_decay_freq))})), {d(c.lr_lower_bound)})"
     if lr_type == "cosine_decay":
-        total = (c.total_epochs - float(c.use_warm_up) * c.warm_up_epoch) * c.train_batch_num
         return (f"{d(c.lr_lower_bound)} + 0.5 * ({d(c.learning_rate_init)} - {d(c.lr_lower_bound)}) * "
-                f"(1.0 + cos({u} / {d(float(total))} * pi()))")
+                f"(1.0 + cos({u} / {d(c.cosine_steps)} * pi()))")
     if lr_type == "cosine_decay_restart":
         x = f"({u} / {d(float(c.lr_decay_freq))})"
         i = f"floor(log2({x} + 1.0))"
@@ -253,6 +256,31 @@ def q_meters(t):
     return m.select("tag", F.round("sum", 6).alias("sum"), "count", F.round("average", 9).alias("average"), "last")
 
 
+@register("meters_guarded", osql.with_views("meter_in") + f"""
+SELECT tag, round(sum, 6) AS sum, count, round(average, 9) AS average, last FROM (
+  SELECT tag, {_METER_SQL} FROM meter_in GROUP BY tag)""")
+def q_meters_guarded(t):
+    """Meters written once; whether an average is NaN is observed by that one action and checked after it."""
+    guarded, seen = observe_finite(weighted_meter(t.meter_in, ["tag"]), "average")
+    path = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/meters-{uuid.uuid4().hex}"
+    guarded.write.parquet(path)
+    check_finite(seen)
+    m = t.spark.read.schema(guarded.schema).parquet(path)
+    return m.select("tag", F.round("sum", 6).alias("sum"), "count", F.round("average", 9).alias("average"), "last")
+
+
+@register("detections_sink", osql.with_views("pred") + """
+SELECT CAST(1 AS INT) AS epoch, img_id, pred_id, label, score, x_min, y_min, x_max, y_max FROM pred WHERE score >= 0.5 AND label < 2""")
+def q_detections_sink(t):
+    """Two epochs of detections; the second is written twice, first with rows of a failed attempt, and read back."""
+    path = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/detections-{uuid.uuid4().hex}"
+    det = t.pred.select("img_id", "pred_id", "label", "score", "x_min", "y_min", "x_max", "y_max")
+    write_epoch(det.filter("score >= 0.9"), path, 0)
+    write_epoch(det.filter("score < 0.4"), path, 1)
+    write_epoch(det.filter("score >= 0.5"), path, 1)
+    return read_detections(t.spark, path, epoch=1, labels=[0, 1])
+
+
 @register("meters_by_epoch", osql.with_views("meter_in") + f"""
 SELECT epoch, tag, round(sum, 6) AS sum, count, round(average, 9) AS average, last FROM (
   SELECT step // 1000 AS epoch, tag, {_METER_SQL} FROM meter_in GROUP BY step // 1000, tag)""")
@@ -441,12 +469,9 @@ def q_apply_model(t):
 
 # --- L4 fit the head ---------------------------------------------------------------------------------
 
-import uuid  # noqa: E402
-
 from boxframe.config import ANCHOR_GROUPS  # noqa: E402
 from boxframe.operators.assign import best_anchor  # noqa: E402
 from boxframe.operators.train import fit_head  # noqa: E402
-from boxframe.session import cut_lineage, ensure_checkpoint_dir  # noqa: E402
 
 # Single-scale training fixture: one cell per image (grid 1x1), input 32x32, scale-0 anchors / 8.
 HEAD_ANCHORS = tuple(LOSS_ANCHORS[i] for i in ANCHOR_GROUPS[0])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -25,6 +25,23 @@ def write_detections(det: DataFrame, path: str, mode: str = "append") -> None:
         .write.mode(mode).partitionBy("label").parquet(path))
 
 
+def write_epoch(det: DataFrame, path: str, epoch: int) -> None:
+    """S8, idempotent: the detections of an epoch replace what the epoch's folder held, other epochs stay.
+
+    Rows are sorted by class within the files, so a reader of some classes skips row groups.  An epoch without any
+    detection leaves its folder as it was."""
+    (det.select("img_id", "pred_id", "label", "score", "x_min", "y_min", "x_max", "y_max", F.lit(epoch).alias("epoch"))
+        .sortWithinPartitions("label", "img_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("epoch").parquet(path))
+
+
+def read_detections(spark: SparkSession, path: str, epoch: int | None = None, labels: Sequence[int] | None = None) -> DataFrame:
+    """Detections of :func:`write_epoch`: only the epoch's folder is listed, the classes are pushed to the scan."""
+    df = spark.read.parquet(path)
+    df = df if epoch is None else df.filter(F.col("epoch") == epoch)
+    return df if labels is None else df.filter(F.col("label").isin(list(labels)))
+
+
 def dataset_profile(boxes: DataFrame) -> DataFrame:
     """Boxes and images per class, and a total row (``label`` NULL)."""
     return (boxes.rollup("label")

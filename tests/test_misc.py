@@ -67,6 +67,35 @@ def test_assert_finite(spark):
         assert_finite(spark.createDataFrame([(float("nan"),)], "loss_total double"))
 
 
+def test_observed_nan_is_checked_after_the_one_action(spark):
+    from boxframe.operators.loss import check_finite, observe_finite
+    for value, ok in ((2.0, True), (float("nan"), False), (None, True)):
+        df = spark.createDataFrame([(1.0,), (value,)], "loss_total double")
+        guarded, seen = observe_finite(df)
+        assert len(guarded.collect()) == 2
+        if ok:
+            assert check_finite(seen) == 2
+        else:
+            with pytest.raises(ArithmeticError):
+                check_finite(seen)
+
+
+def test_epoch_sink_replaces_its_epoch_only(spark):
+    from boxframe.sources.sinks import read_detections, write_epoch
+    path = tempfile.mkdtemp(prefix="bf-epoch-") + "/det"
+    det = spark.range(20).selectExpr("id AS img_id", "1 AS pred_id", "CAST(id % 3 AS INT) AS label", "0.5D AS score", "0D AS x_min", "0D AS y_min",
+                                     "1D AS x_max", "1D AS y_max")
+    write_epoch(det, path, 0)
+    write_epoch(det.filter("label = 2"), path, 1)
+    for _ in range(2):
+        write_epoch(det.filter("label < 2"), path, 1)
+    assert read_detections(spark, path).count() == 34
+    one = read_detections(spark, path, epoch=1, labels=[1])
+    assert sorted(r.img_id for r in one.collect()) == [i for i in range(20) if i % 3 == 1]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(epoch" in plan and "EqualTo(label,1)" in plan.replace("In(label, [1])", "EqualTo(label,1)")
+
+
 def test_class_names_join(spark):
     d = tempfile.mkdtemp(prefix="bf-names-")
     with open(f"{d}/c.names", "w") as f:

@@ -13,7 +13,8 @@ QUERIES = queries()
 COLUMN_ONLY = ["nms", "nms_py", "voc_eval_raw", "voc_ap_11pt", "pr_curve", "box_iou", "assign_anchors",
                "encode_targets", "box_transforms", "crop_boxes", "decode", "decode_nms", "scan_annotations",
                "truth_table", "overlap_pairs", "detection_loss", "lr_schedule", "meters", "meters_window",
-               "metrics_long", "epoch_batches", "mixup_pairs", "score_head"]
+               "metrics_long", "epoch_batches", "mixup_pairs", "score_head", "augment_boxes", "augment_params", "augment_targets",
+               "dense_targets", "detection_loss_batch_scope", "decode_voc", "nms_mosaic", "voc_eval"]
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
 
 

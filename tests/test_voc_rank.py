@@ -142,3 +142,46 @@ def test_box_kept_under_two_classes_is_two_detections(spark):
     assert voc_eval(det, truth, unknown_images="error").count() == 2
     assert {r.label: (r.nd, r.tp) for r in voc_eval(stray, truth).collect()} == {0: (1, 0), 1: (1, 0)}
     assert {r.label: (r.n_pred, r.n_tp) for r in evaluate_matches(det, truth).collect()} == {0: (1, 1), 1: (1, 0)}
+
+
+def test_segments_follow_the_order_and_change_no_result(spark):
+    """Few rows, heavy ties, nulls and NaN in a falling order; many segments."""
+    from boxframe.operators.ranking import SEGMENT, suffix_max, with_segments
+    rows = [(g, (None if i % 11 == 0 else float("nan") if i % 13 == 0 else round((i * 7919 % 50) / 50, 2)), i) for g in ("a", "b", None) for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, s double, id int")
+    order = [("s", False), ("id", True)]
+    seg = with_segments(df, ["g"], order, 16)
+    assert seg.select(SEGMENT).distinct().count() > 8
+    key = lambda r: (r.g is not None, r.g or "", r.s is None, not (r.s is not None and r.s != r.s), -(r.s if r.s is not None and r.s == r.s else 0), r.id)
+    ordered = sorted(seg.collect(), key=key)
+    assert [r[SEGMENT] for r in ordered] == sorted(r[SEGMENT] for r in ordered)
+    out = {}
+    for strategy in ("window", "two_pass"):
+        kw = {"num_partitions": 16} if strategy == "two_pass" else {}
+        r = global_rank(df, ["g"], order, {"c": F.col("id") % 3}, strategy=strategy, **kw)
+        r = suffix_max(r, ["g"], order, (F.col("id") * 37) % 101, "top", strategy=strategy)
+        out[strategy] = sorted((str(x.g), x.id, x["rank"], x.c, x.top) for x in r.collect())
+    assert out["window"] == out["two_pass"]
+
+
+def test_voc_two_pass_equals_window_and_cuts_once(spark, monkeypatch):
+    """One materialisation, and in its plan one exchange of the events by (class, segment) and no join back."""
+    from boxframe.operators import voc
+    from boxframe.plans.fixtures import Tables
+    from tests.conftest import SF_SMALL
+    t = Tables(spark, SF_SMALL)
+    det = t.pred.select("img_id", "label", "pred_id", "score", "x_min", "y_min", "x_max", "y_max")
+    plans, cut = [], voc.cut_lineage
+
+    def spy(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(voc, "cut_lineage", spy)
+    for old in (False, True):
+        a = sorted(map(tuple, voc.voc_eval(det, t.gt, 0.5, old).collect()))
+        b = sorted(map(tuple, voc.voc_eval(det, t.gt, 0.5, old, rank_strategy="window").collect()))
+        assert a == b
+    assert len(plans) == 2
+    assert plans[0].count("__seg") > 0 and len([x for x in plans[0].splitlines() if "Exchange hashpartitioning(label" in x and "__seg" in x]) == 1
+    assert not any(x in plans[0] for x in ("Python", "CartesianProduct", "MapInPandas"))
