@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from boxframe.functions.boxes import COORDS, iou
 from boxframe.operators.spatial import CELL, PAD_FOR_VARIANT, overlap_join
+from boxframe.session import computed_once
 
 DET_KEY = ("img_id", "label", "pred_id")
 
@@ -50,6 +51,7 @@ def _best(det: DataFrame, truth: DataFrame, by_label: bool, variant: str, cell:
     scored = pairs.select(*DET_KEY, iou(abox, bbox, variant).alias("__ov"), "b_box_id",
                           blabel.alias("b_label"), "__score")
     if min_iou is not None:
+        scored = computed_once(scored, list(DET_KEY))
         scored = scored.filter(F.col("__ov") > F.lit(float(min_iou)))
     return (scored.groupBy(*DET_KEY)
                   .agg(F.max(F.struct(F.col("__ov"), F.negative(F.col("b_box_id")).alias("__nb"),

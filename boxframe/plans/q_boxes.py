@@ -14,6 +14,7 @@ from boxframe.operators.nms import nms
 from boxframe.operators.spatial import overlap_self_join
 from boxframe.plans import oracle_sql as osql
 from boxframe.plans.catalog import register
+from boxframe.session import computed_once
 from boxframe.sources.annotations import explode_boxes, format_annotation, scan_annotations, truth_table
 
 ANCHORS = parse_anchor_string(DEFAULT_ANCHORS)
@@ -304,10 +305,9 @@ def q_overlap_pairs(t):
     """Pairs in one image and class with IoU > 0.5 (grid join, never all pairs)."""
     p = t.pred.select("img_id", "label", "pred_id", *COORDS)
     j = overlap_self_join(p, ["img_id", "label"], normalise=True, before="pred_id")
-    v = iou(_box("a_"), _box("b_"), "tf")
-    return (j.filter(v > 0.5)
-             .select("img_id", "label", F.col("a_pred_id").alias("a_id"), F.col("b_pred_id").alias("b_id"),
-                     v.alias("iou")))
+    j = j.select("img_id", "label", F.col("a_pred_id").alias("a_id"), F.col("b_pred_id").alias("b_id"),
+                 iou(_box("a_"), _box("b_"), "tf").alias("iou"))
+    return computed_once(j, ["img_id", "label", "a_id", "b_id"]).filter("iou > 0.5")
 
 
 def _kept(t):
