@@ -103,7 +103,7 @@ def _braced(sql: str, deps: tuple[str, ...]) -> str:
 
 
 #: Rows of ``lineitem`` in one partition of the truth table, at most on average.
-TRUTH_ROWS = 200_000
+TRUTH_ROWS = 100_000
 
 
 class Tables:
