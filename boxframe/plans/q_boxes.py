@@ -14,7 +14,7 @@ from boxframe.operators.nms import nms
 from boxframe.operators.spatial import overlap_self_join
 from boxframe.plans import oracle_sql as osql
 from boxframe.plans.catalog import register
-from boxframe.session import computed_once
+from boxframe.session import computed_once, stored
 from boxframe.sources.annotations import explode_boxes, format_annotation, scan_annotations, truth_table
 
 ANCHORS = parse_anchor_string(DEFAULT_ANCHORS)
@@ -311,8 +311,7 @@ def q_overlap_pairs(t):
 
 
 def _kept(t):
-    from boxframe.session import cut_lineage
-    return cut_lineage(nms(t.pred.select(*osql_det_cols()), 0.5, 0.5, 50))
+    return stored(nms(t.pred.select(*osql_det_cols()), 0.5, 0.5, 50))
 
 
 def osql_det_cols():
@@ -386,10 +385,9 @@ img_det AS (
 def q_decode_voc(t):
     """Feature maps of all images -> detections (a slot may stay under several classes) -> NMS -> VOC at IoU 0.1."""
     from boxframe.operators.voc import voc_eval
-    from boxframe.session import cut_lineage
     g = t.gt.join(t.img, "img_id")
     truth = g.select("img_id", "box_id", "label", (F.col("x_min") * 256 / F.col("width")).alias("x_min"),
                      (F.col("y_min") * 32 / F.col("height")).alias("y_min"), (F.col("x_max") * 256 / F.col("width")).alias("x_max"),
                      (F.col("y_max") * 32 / F.col("height")).alias("y_max"))
     maps = _featmaps(t, t.img_vec, "img_id")
-    return voc_eval(cut_lineage(_decoded(maps)), truth, 0.1)
+    return voc_eval(stored(_decoded(maps)), truth, 0.1)
