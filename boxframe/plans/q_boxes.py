@@ -363,7 +363,8 @@ def _decoded(maps):
     slots bound a group, so no sizes are counted."""
     det = to_detections(predict_boxes(decode(maps, 3, ANCHORS, img_w=256, img_h=32)), 0.3, digits=6)
     det = det.select("img_id", "label", F.col("pred_id").cast("int").alias("pred_id"), "score", *[F.round(c, 6).alias(c) for c in COORDS])
-    return nms(det, 0.5, None, 50, "tf", strategy="fold")
+    # out of a generator: the filters of the suppression read the rounded corners and do not decode and round a slot again
+    return nms(computed_once(det, ["img_id", "label", "pred_id"]), 0.5, None, 50, "tf", strategy="fold")
 
 
 # --- E4: feature maps to VOC -------------------------------------------------------------------
